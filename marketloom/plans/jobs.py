@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.operators import quality
-from marketloom.operators.cleaning import flatten_structs
 from marketloom.plans import curate as curation
 from marketloom.plans import features as feat
 from marketloom.schemas import (
@@ -62,8 +61,8 @@ def load_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {
         "user_interactions": files.read_partition(spark, f"{root}/{RAW['user_interactions']}", schema=INTERACTIONS),
         "user_profiles": files.read_partition(spark, f"{root}/{RAW['user_profiles']}", schema=PROFILES),
-        "product_catalog": flatten_structs(
-            files.read_catalog_json(spark, f"{catalog_root}/ingestion_date={newest}", CATALOG)
+        "product_catalog": (
+            files.read_catalog_json(spark, f"{catalog_root}/ingestion_date={newest}", CATALOG, lines=True)
         ),
     }
 

@@ -62,9 +62,15 @@ def read_all_distinct(spark: SparkSession, root: str, key: str = "ingestion_date
     return spark.read.parquet(root).drop(key).dropDuplicates()
 
 
-def read_catalog_json(spark: SparkSession, path: str, product: T.StructType = CATALOG) -> DataFrame:
+def read_catalog_json(
+    spark: SparkSession, path: str, product: T.StructType = CATALOG, lines: bool = False
+) -> DataFrame:
     """Products from documents that are either ``{count, products: [...]}`` or a bare list.
 
+    By default a file is one document, which only one task can read. ``lines=True``
+    reads one document (or one product) per line, as ``write_catalog_json`` lands
+    them, and splits large files.
+
     A bare list yields one record per product, an envelope one record per file.
     Unreadable files become corrupt records and are left out. Nested objects are
     flattened to dotted names.
@@ -80,7 +86,7 @@ def read_catalog_json(spark: SparkSession, path: str, product: T.StructType = CA
     )
     records = (
         spark.read.schema(envelope)
-        .option("multiLine", True)
+        .option("multiLine", not lines)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", corrupt)
         .json(path)
@@ -91,12 +97,11 @@ def read_catalog_json(spark: SparkSession, path: str, product: T.StructType = CA
     return flatten_structs(items.select("p.*"))
 
 
-def latest_source_date(files: DataFrame) -> DataFrame:
-    """Largest date prefix among the names of the files behind a scan, as one row."""
-    prefix = before_underscore(F.col("_metadata.file_name"))
-    return files.select(prefix.alias("d")).where(F.col("d").rlike("^[0-9]{8}$")).agg(
-        F.max("d").alias("latest_date")
-    )
+def latest_source_date(files: DataFrame, name: str = "_metadata.file_name") -> DataFrame:
+    """Largest date prefix among file names, as one row; by default of the files behind a scan."""
+    prefix = before_underscore(F.col(name))
+    dates = files.select(prefix.alias("d")).where(F.col("d").rlike("^[0-9]{8}$"))
+    return dates.agg(F.max("d").alias("latest_date"))
 
 
 def latest_source_file(spark: SparkSession, folder: str, suffix: str) -> str | None:
