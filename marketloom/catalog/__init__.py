@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["scans_sinks", "projections"]
+MODULES = ["scans_sinks", "projections", "relational"]
 
 
 def load():

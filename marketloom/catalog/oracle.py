@@ -23,7 +23,7 @@ def mm(expr: str, lo: str, hi: str) -> str:
 # categories and subcategories of the generated part table, in order
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 SUBCATEGORIES = ["anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget"]
-STRENGTH = "CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'add_to_cart' THEN 3 WHEN 'purchase' THEN 4 ELSE 0 END"
+STRENGTH = "CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'add_to_cart' THEN 3 WHEN 'purchase' THEN 4 ELSE 0 END::BIGINT"
 HOT = ", ".join(
     [f"(coalesce(category = '{c}', false))::BIGINT AS cat_{c}" for c in CATEGORIES]
     + [f"(coalesce(subcategory = '{c}', false))::BIGINT AS subcat_{c}" for c in SUBCATEGORIES]
@@ -124,8 +124,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT p_partkey AS product_id, p_name AS product_name, length(p_type) AS category_id, p_type AS category,
  length(split_part(p_name, ' ', 2)) AS subcategory_id, split_part(p_name, ' ', 2) AS subcategory, p_brand AS brand,
  CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_retailprice END AS price, 1.0E0 + (p_size % 9) / 2.0E0 AS rating_avg,
- CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_size * 3 END AS rating_count,
- CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE p_size END AS stock_quantity FROM part WHERE p_partkey % 25 <> 24""",
+ CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE (p_size * 3)::BIGINT END AS rating_count,
+ CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE p_size::BIGINT END AS stock_quantity FROM part WHERE p_partkey % 25 <> 24""",
     ),
     "raw_order_interactions": (
         (),

@@ -63,8 +63,8 @@ def tolerant_cast(spark, sf):
 @register(
     "align_schema",
     with_(
-        f"""SELECT user_id, coalesce(product_id, 0) AS product_id, 0 AS interaction_count, 0.0e0 AS implicit_score, 0.0e0 AS hour_sin,
- 0.0e0 AS hour_cos, 0.0e0 AS day_sin, 0.0e0 AS day_cos, {r6('coalesce(duration_seconds, 0)', 'duration_scaled')}, 0 AS time_since_last_seconds,
+        f"""SELECT user_id, coalesce(product_id, 0) AS product_id, 0::BIGINT AS interaction_count, 0.0e0 AS implicit_score, 0.0e0 AS hour_sin,
+ 0.0e0 AS hour_cos, 0.0e0 AS day_sin, 0.0e0 AS day_cos, {r6('coalesce(duration_seconds, 0)', 'duration_scaled')}, 0::BIGINT AS time_since_last_seconds,
  NULL::VARCHAR AS interaction_date, NULL::VARCHAR AS created_at FROM raw_interactions""",
         RAW,
     ),
@@ -126,7 +126,7 @@ def pred_compare_nulls(spark, sf):
     "purchase_mask",
     with_(
         f"""SELECT product_id, count(*) FILTER (event_type = 'purchase') AS by_type, count(*) FILTER ({O.STRENGTH} = 4) AS by_strength,
- 0 AS by_nothing FROM raw_interactions WHERE product_id IS NOT NULL GROUP BY 1""",
+ 0::BIGINT AS by_nothing FROM raw_interactions WHERE product_id IS NOT NULL GROUP BY 1""",
         RAW,
     ),
 )

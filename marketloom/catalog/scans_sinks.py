@@ -192,7 +192,7 @@ def sink_curated(spark, sf):
 @register(
     "lineage_record",
     with_(
-        """SELECT '20240131' AS event_date, '2025-01-01 00:00:00' AS created_at, count(*) AS row_count, 46 AS n_columns, 'user_interactions' AS source,
+        """SELECT '20240131' AS event_date, '2025-01-01 00:00:00' AS created_at, count(*) AS row_count, 46::BIGINT AS n_columns, 'user_interactions' AS source,
  '20240131' AS ingestion_date, 'curate_interactions>curate_profiles>curate_catalog>merge_curated' AS steps FROM curated""",
         "curated",
     ),
