@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["scans_sinks", "projections", "relational"]
+MODULES = ["scans_sinks", "projections", "relational", "quality", "jobs", "recommenders"]
 
 
 def load():
