@@ -43,7 +43,7 @@ def _time_slices(stamps: DataFrame, slices: int) -> list[float]:
     edges = stamps.agg(
         F.percentile_approx(F.col("_us"), probes, 10 * slices).alias("q")
     ).first()["q"]
-    inner = sorted({float(e) for e in edges or []})
+    inner = sorted({float(e) for e in edges or [0.0]}) or [0.0]
     return [float("-inf"), *inner, float("inf")]
 
 

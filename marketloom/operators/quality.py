@@ -18,9 +18,6 @@ from marketloom.operators import aggregates as A
 from marketloom.operators.cleaning import present, tolerant_ids
 from marketloom.schemas import EVENT_TYPES, TIERS
 
-RESULT = T.StructType.fromDDL(
-    "dataset STRING, rule STRING, column STRING, unexpected BIGINT, success BOOLEAN"
-)
 # fixed values: rule names
 NOT_NULL = "expect_column_values_to_not_be_null"
 IN_SET = "expect_column_values_to_be_in_set"

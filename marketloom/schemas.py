@@ -18,8 +18,22 @@ UNKNOWN_AGE = -1
 # --------------------------------------------------------------------------
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TYPES = {
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "FLOAT": T.FloatType(),
+    "STRING": T.StringType(),
+    "TIMESTAMP": T.TimestampType(),
+    "DATE": T.DateType(),
+    "METRICS": T.MapType(T.StringType(), T.DoubleType()),
+    "TEXTS": T.MapType(T.StringType(), T.StringType()),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """``name TYPE, ...`` to a schema without a running session (``fromDDL`` needs one)."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
 INTERACTIONS = _schema(
@@ -58,7 +72,7 @@ INTERACTION_FEATURES = _schema(
 
 RUNS = _schema(
     "run_id STRING, status STRING, start_time TIMESTAMP, end_time TIMESTAMP, "
-    "metrics MAP<STRING, DOUBLE>, params MAP<STRING, STRING>, tags MAP<STRING, STRING>"
+    "metrics METRICS, params TEXTS, tags TEXTS"
 )
 
 

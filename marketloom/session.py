@@ -19,6 +19,8 @@ def build_session(app: str = "marketloom", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call-site capture costs more than planning when expressions are built in loops
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
