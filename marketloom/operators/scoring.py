@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.operators.windows import top_n_per_key
-from marketloom.session import materialize
+from marketloom.session import materialize, python_partitions
 
 CHUNK_CELLS = 8_000_000  # vector entries sent to every task at once (about 64 MB)
 SCORE_DECIMALS = 9  # scores closer than this are ties and are ordered by item
@@ -146,6 +146,9 @@ def _send_chunk(items: DataFrame, item: str):
 
 def _score_chunks(users, items, user, item, cosine, n, summary, schema, chunk_cells):
     chunks = _chunks(items, item, chunk_cells)
+    users = users.repartition(python_partitions(users.sparkSession), user)
+    if len(chunks) > 1:
+        users = materialize(users, "users")
     scored = None
     for chunk in chunks:
         sent = _send_chunk(chunk, item)

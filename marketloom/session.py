@@ -63,3 +63,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def python_partitions(spark: SparkSession, units: int = 0, per_task: int = 1) -> int:
+    """Partition count for compute-bound Python work: sized by the work, not by its few bytes.
+
+    Adaptive execution would otherwise merge small inputs into one task.
+    """
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, -(-units // per_task))

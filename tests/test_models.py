@@ -22,10 +22,11 @@ def factors(df, key):
     return local[key].to_numpy(), np.vstack(local["factors"].to_numpy())
 
 
-def test_svd_of_low_rank_matrix_is_exact(spark, rows):
+@pytest.mark.parametrize("basis_cells", [0, svd.BASIS_CELLS])
+def test_svd_of_low_rank_matrix_is_exact(spark, rows, basis_cells):
     rng = np.random.default_rng(3)
     dense = rng.integers(0, 4, (30, 4)) @ rng.integers(0, 3, (4, 12)).astype(float)
-    model = svd.fit(long_matrix(rows, dense), components=6, oversample=4)
+    model = svd.fit(long_matrix(rows, dense), components=6, oversample=4, basis_cells=basis_cells)
     users, u = factors(model.user_factors, "user_id")
     items, v = factors(model.item_factors, "product_id")
     assert np.allclose(u @ v.T, dense[np.ix_(users, items)], atol=1e-8)
@@ -34,7 +35,8 @@ def test_svd_of_low_rank_matrix_is_exact(spark, rows):
     assert abs(svd.explained_variance(model).first()[0] - 1.0) < 1e-8
 
 
-def test_truncated_svd_matches_numpy(spark, rows):
+@pytest.mark.parametrize("basis_cells", [0, svd.BASIS_CELLS])
+def test_truncated_svd_matches_numpy(spark, rows, basis_cells):
     rng = np.random.default_rng(5)
     # a decaying spectrum, so that the leading subspace is well defined
     left, _ = np.linalg.qr(rng.normal(size=(40, 15)))
@@ -42,7 +44,7 @@ def test_truncated_svd_matches_numpy(spark, rows):
     dense = left @ np.diag(0.5 ** np.arange(15) * 100) @ right.T
     cells = [(int(a), int(b), float(dense[a, b])) for a in range(40) for b in range(15)]
     train = rows("user_id BIGINT, product_id BIGINT, implicit_score DOUBLE", *cells)
-    model = svd.fit(train, components=4, oversample=6)
+    model = svd.fit(train, components=4, oversample=6, basis_cells=basis_cells)
     _, u = factors(model.user_factors, "user_id")
     _, v = factors(model.item_factors, "product_id")
     uu, s, vt = np.linalg.svd(dense, full_matrices=False)
