@@ -199,7 +199,7 @@ for _name, _dataset in (("dq_interactions", "user_interactions"), ("dq_profiles"
 def all_checks(spark, sf):
     result = None
     for dataset, load in LOADERS.items():
-        part = Q.validate(load(spark, sf), dataset)[0]
+        part = Q.validate(load(spark, sf), dataset)
         result = part if result is None else result.unionByName(part)
     return result
 

@@ -169,15 +169,12 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     ends = df.agg(
         F.struct(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")).alias("r")
     ).scalar()
-    flat = ends["lo"] == ends["hi"]
-    low = F.when(flat, ends["lo"] - 0.5).otherwise(ends["lo"])
-    width = F.when(flat, F.lit(1.0)).otherwise(ends["hi"] - ends["lo"])
+    held = df.where(F.col(column).isNotNull()).withColumn("_ends", ends)
+    lo, hi = F.col("_ends.lo"), F.col("_ends.hi")
+    low = F.when(lo == hi, lo - 0.5).otherwise(lo)
+    width = F.when(lo == hi, F.lit(1.0)).otherwise(hi - lo)
     place = F.floor((F.col(column).cast("double") - low) / width * F.lit(float(bins)))
-    counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.least(place, F.lit(bins - 1)).cast("bigint").alias("bin"))
-        .agg(rows().alias("n"))
-    )
+    counted = held.groupBy(F.least(place, F.lit(bins - 1)).cast("bigint").alias("bin")).agg(rows().alias("n"))
     every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return every.join(counted, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 

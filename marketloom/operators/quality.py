@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from marketloom.functions import scalars as S
 from marketloom.operators import aggregates as A
-from marketloom.operators.cleaning import present, tolerant_ids
+from marketloom.operators.cleaning import tolerant_ids
 from marketloom.schemas import EVENT_TYPES, TIERS
 
 # fixed values: rule names
@@ -112,6 +112,13 @@ def coerce(df: DataFrame) -> DataFrame:
     return tolerant_ids(df, *COERCED)
 
 
+def _repeated(df: DataFrame, column: str) -> DataFrame:
+    """Rows of repeated values: every one of them is unexpected, not only the extras."""
+    return A.count_by_key(df, column).agg(
+        A.sum_or_zero(F.when(F.col("n") > 1, F.col("n"))).alias("unexpected")
+    )
+
+
 def run_checks(df: DataFrame, dataset: str, checks: list[Check]) -> DataFrame:
     """One (dataset, rule, column, unexpected, success) row per check."""
     spark = df.sparkSession
@@ -127,11 +134,7 @@ def run_checks(df: DataFrame, dataset: str, checks: list[Check]) -> DataFrame:
         ]
         parts.append(counts.select(F.inline(F.array(*cells))))
     for c in grouped:
-        # every row of a repeated value is unexpected, not only the extras
-        repeated = A.count_by_key(df, c.column).agg(
-            A.sum_or_zero(F.when(F.col("n") > 1, F.col("n"))).alias("unexpected")
-        )
-        parts.append(repeated.select(F.lit(c.rule).alias("rule"), F.lit(c.column).alias("column"), "unexpected"))
+        parts.append(_repeated(df, c.column).select(F.lit(c.rule).alias("rule"), F.lit(c.column).alias("column"), "unexpected"))
     if typed:
         wrong = [(c.rule, c.column, int(df.schema[c.column].dataType != c.dtype)) for c in typed]
         parts.append(spark.createDataFrame(wrong, "rule STRING, column STRING, unexpected BIGINT"))
@@ -167,19 +170,17 @@ def _distribution(df: DataFrame, column: str, metric: str) -> DataFrame:
     )
 
 
-def _profile(df: DataFrame, dataset: str, stats: list[Column], extra: list[DataFrame]) -> DataFrame:
-    result = _unpivot(df.agg(*stats))
-    for part in extra:
-        result = result.unionByName(part)
-    return result.select(F.lit(dataset).alias("dataset"), "metric", "value")
+@dataclass(frozen=True)
+class Profile:
+    """Statistics of a dataset: those of one aggregate over its rows, and those that group them."""
+
+    stats: list[Column]
+    grouped: list[DataFrame]
 
 
-def profile_interactions(df: DataFrame) -> DataFrame:
-    """Statistics of the interactions as (dataset, metric, value) rows."""
+def profile_interactions(df: DataFrame) -> Profile:
     c = F.col
-    return _profile(
-        df,
-        "user_interactions",
+    return Profile(
         [
             A.rows().alias("total_records"),
             _moment(F.min("timestamp")).alias("stats_date_min"),
@@ -200,11 +201,9 @@ def profile_interactions(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_profiles(df: DataFrame) -> DataFrame:
+def profile_profiles(df: DataFrame) -> Profile:
     c = F.col
-    return _profile(
-        df,
-        "user_profiles",
+    return Profile(
         [
             A.rows().alias("total_records"),
             F.bround(F.avg("age"), 2).alias("stats_age_mean"),
@@ -223,11 +222,9 @@ def profile_profiles(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_catalog(df: DataFrame) -> DataFrame:
+def profile_catalog(df: DataFrame) -> Profile:
     c = F.col
-    return _profile(
-        df,
-        "product_catalog",
+    return Profile(
         [
             A.rows().alias("total_records"),
             F.bround(F.avg("price"), 2).alias("stats_avg_price"),
@@ -253,26 +250,36 @@ SUITES = {
 }
 
 
-def validate(df: DataFrame, dataset: str, coerce_first: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(check results, profile) of a dataset by its suite."""
-    checks, profile = SUITES[dataset]
+def validate(df: DataFrame, dataset: str, coerce_first: bool = False) -> DataFrame:
+    """Check results of a dataset by its suite."""
     frame = coerce(df) if coerce_first else df
-    usable = [c for c in checks if c.column in present(frame, c.column)]
-    return run_checks(frame, dataset, usable), profile(frame)
+    return run_checks(frame, dataset, _usable(frame, dataset))
+
+
+def _usable(df: DataFrame, dataset: str) -> list[Check]:
+    return [c for c in SUITES[dataset][0] if c.column in df.columns]
 
 
 def suite_report(df: DataFrame, dataset: str, coerce_first: bool = False) -> DataFrame:
-    """Profile metrics plus passed and failed totals as (dataset, metric, value) rows."""
-    checks, profile = validate(df, dataset, coerce_first)
-    totals = checks.groupBy("dataset").agg(
-        F.count_if("success").alias("expectations_passed"),
-        F.count_if(~F.col("success")).alias("expectations_failed"),
-    )
-    cells = [
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value"))
-        for m in ("expectations_passed", "expectations_failed")
-    ]
-    return profile.unionByName(totals.select("dataset", F.inline(F.array(*cells))))
+    """Profile metrics plus passed and failed totals as (dataset, metric, value) rows.
+
+    Statistics and row-level checks share one aggregate over one scan.
+    """
+    frame = coerce(df) if coerce_first else df
+    checks, profile = _usable(frame, dataset), SUITES[dataset][1](frame)
+    typed = sum(frame.schema[c.column].dataType == c.dtype for c in checks if c.rule == OF_TYPE)
+    by_row = [c for c in checks if c.rule not in (OF_TYPE, UNIQUE)]
+    repeated = [_repeated(frame, c.column).scalar() for c in checks if c.rule == UNIQUE]
+    counted = [F.count_if(c.violation()).alias(f"_n_{i}") for i, c in enumerate(by_row)]
+    row = frame.agg(*profile.stats, *counted)
+    passed = F.lit(typed)
+    for count in [*(F.col(f"_n_{i}") for i in range(len(by_row))), *repeated]:
+        passed = passed + (count == 0).cast("bigint")
+    row = row.withColumns({"expectations_passed": passed, "expectations_failed": F.lit(len(checks)) - passed})
+    report = _unpivot(row.drop(*[f"_n_{i}" for i in range(len(by_row))]))
+    for part in profile.grouped:
+        report = report.unionByName(part)
+    return report.select(F.lit(dataset).alias("dataset"), "metric", "value")
 
 
 def failures(results: DataFrame, with_counts: Iterable[str] = ("user_profiles",)) -> DataFrame:
@@ -304,7 +311,7 @@ def gate(datasets: dict[str, DataFrame], coerce_first: bool = False) -> DataFram
     empty = [name for name, df in datasets.items() if df.isEmpty()]
     results = None
     for name, df in datasets.items():
-        part = validate(df, name, coerce_first)[0]
+        part = validate(df, name, coerce_first)
         results = part if results is None else results.unionByName(part)
     failed = [r["message"] for r in failures(results).orderBy("dataset", "rule", "column").collect()]
     if empty or failed:

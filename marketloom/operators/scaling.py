@@ -137,28 +137,47 @@ def min_max_scale(df: DataFrame, outputs: dict[str, str], fit_on: DataFrame | No
             *[F.max(F.col(c).cast("double")).alias(f"hi_{i}") for i, c in enumerate(outputs)],
         ).alias("r")
     ).scalar()
-    return df.withColumns(
+    # held in a column, so that the plan has the subquery once and not once per use
+    held = df.withColumn("_range", ranges)
+    return held.withColumns(
         {
-            name: scaled(F.col(c).cast("double"), ranges[f"lo_{i}"], ranges[f"hi_{i}"])
+            name: scaled(
+                F.col(c).cast("double"), F.col(f"_range.lo_{i}"), F.col(f"_range.hi_{i}")
+            )
             for i, (c, name) in enumerate(outputs.items())
         }
-    )
+    ).drop("_range")
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = ONE_HOT_WIDTH) -> list[str]:
-    """Sorted distinct non-null values; more than ``limit`` is an error, not a cut."""
+def distinct_values_of(df: DataFrame, columns: list[str], limit: int = ONE_HOT_WIDTH) -> dict[str, list[str]]:
+    """Sorted distinct non-null values of each column, all from one job.
+
+    More than ``limit`` values in a column is an error, not a cut.
+    """
+    if not columns:
+        return {}
+    cells = [F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]
     rows = (
-        df.select(F.col(column).cast("string").alias("v"))
+        df.select(F.inline(F.array(*cells)))
         .where("v IS NOT NULL")
         .distinct()
-        .limit(limit + 1)
+        .limit(limit * len(columns) + 1)
         .collect()
     )
-    if len(rows) > limit:
-        raise ValueError(
-            f"{column} has more than {limit} values: too wide for columns, use one_hot_long"
-        )
-    return sorted(r["v"] for r in rows)
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in rows:
+        found[row["c"]].append(row["v"])
+    # if one column alone exhausts the joint limit, the others may look short: still an error
+    for column, values in found.items():
+        if len(values) > limit:
+            raise ValueError(
+                f"{column} has more than {limit} values: too wide for columns, use one_hot_long"
+            )
+    return {c: sorted(v) for c, v in found.items()}
+
+
+def distinct_values(df: DataFrame, column: str, limit: int = ONE_HOT_WIDTH) -> list[str]:
+    return distinct_values_of(df, [column], limit)[column]
 
 
 def one_hot(df: DataFrame, column: str, prefix: str, values: list[str] | None = None) -> DataFrame:

@@ -62,9 +62,10 @@ def curate_catalog(raw: DataFrame, wide_one_hot: bool = True) -> DataFrame:
     keyed = C.drop_null_keys(raw, "product_id")
     df = C.tolerant_ids(keyed.dropDuplicates(), "product_id", "category_id", "subcategory_id")
     if wide_one_hot:
+        values = M.distinct_values_of(keyed, C.present(df, "category", "subcategory"))
         for column, prefix in (("category", "cat"), ("subcategory", "subcat")):
-            if column in df.columns:
-                df = M.one_hot(df, column, prefix, M.distinct_values(keyed, column))
+            if column in values:
+                df = M.one_hot(df, column, prefix, values[column])
     zeros = {"stock_quantity": 0, "rating_count": 0}
     df = C.fill_defaults(df, zeros)
     outputs = {}

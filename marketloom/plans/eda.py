@@ -45,8 +45,9 @@ def eda_catalog(raw: DataFrame, wide_one_hot: bool = True) -> DataFrame:
     keyed = C.drop_null_keys(raw, "product_id")
     df = C.tolerant_ids(keyed.dropDuplicates(), "product_id")
     if wide_one_hot:
+        values = M.distinct_values_of(keyed, ["category", "subcategory"])
         for column, prefix in (("category", "cat"), ("subcategory", "subcat")):
-            df = M.one_hot(df, column, prefix, M.distinct_values(keyed, column))
+            df = M.one_hot(df, column, prefix, values[column])
     stock = F.coalesce(F.col("stock_quantity"), F.lit(0))
     df = M.min_max_scale(
         df.withColumn("_stock", stock),
