@@ -491,14 +491,19 @@ def merge_partials(spark, sf):
     "lag_seconds",
     with_(
         """SELECT user_id, product_id, timestamp, coalesce(timestamp - lag(timestamp) OVER (PARTITION BY user_id, product_id ORDER BY timestamp), 0) AS gap
- FROM (SELECT DISTINCT user_id, product_id, timestamp FROM raw_order_interactions)""",
-        ORDERS,
+ FROM (SELECT user_id, product_id, min(timestamp) AS timestamp FROM raw_interactions WHERE product_id IS NOT NULL GROUP BY user_id, product_id, timestamp // 86400)""",
+        RAW,
     ),
 )
 def lag_seconds(spark, sf):
-    rows = X.raw_order_interactions(spark, sf).select("user_id", "product_id", "timestamp").distinct()
-    rows = rows.withColumn("us", F.col("timestamp") * 1000000)
-    return rows.withColumn("gap", W.lag_seconds(rows, ["user_id", "product_id"], "us")).drop("us")
+    """Gaps between the day rows of a pair: a window never holds more rows than there are days."""
+    daily = (
+        C.drop_null_keys(X.raw_interactions(spark, sf), "product_id")
+        .groupBy("user_id", "product_id", F.floor(F.col("timestamp") / 86400).alias("day"))
+        .agg(F.min("timestamp").alias("timestamp"))
+        .withColumn("us", F.col("timestamp") * 1000000)
+    )
+    return daily.withColumn("gap", W.lag_seconds(daily, ["user_id", "product_id"], "us")).drop("us", "day")
 
 
 @register(
@@ -556,15 +561,16 @@ def key_index(spark, sf):
 
 @register(
     "sort_rows",
-    with_("SELECT user_id, product_id, timestamp, row_number() OVER (PARTITION BY user_id ORDER BY timestamp, product_id) AS position FROM (SELECT DISTINCT user_id, product_id, timestamp FROM raw_interactions WHERE product_id IS NOT NULL)", RAW),
+    with_(
+        """SELECT user_id, timestamp, product_id, row_number() OVER (ORDER BY user_id, timestamp, product_id) - 1 AS position
+ FROM (SELECT DISTINCT user_id, product_id, timestamp FROM raw_interactions WHERE product_id IS NOT NULL)""",
+        RAW,
+    ),
 )
 def sort_rows(spark, sf):
-    """Rows in (user, time, product) order, the order made visible as a position per user."""
-    from pyspark.sql import Window
-
-    rows = C.drop_null_keys(X.raw_interactions(spark, sf), "product_id").select("user_id", "product_id", "timestamp").distinct()
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy("timestamp", "product_id"))
-    return rows.withColumn("position", place).orderBy("user_id", "timestamp", "product_id")
+    """Rows in (user, time, product) order, the order made visible as a position."""
+    rows = C.drop_null_keys(X.raw_interactions(spark, sf), "product_id").select("user_id", "timestamp", "product_id").distinct()
+    return W.sorted_positions(rows, "user_id", "timestamp", "product_id")
 
 
 @register(

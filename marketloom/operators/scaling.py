@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.session import materialize
@@ -49,12 +49,9 @@ def _value_at(df: DataFrame, rank: int, count: int, tail_rows: int) -> float:
 
 
 def _exact_small(frame: DataFrame, rank: int) -> float:
-    upto = 0
-    for row in frame.orderBy("v").toLocalIterator():
-        upto += row["n"]
-        if rank < upto:
-            return row["v"]
-    raise ValueError("rank outside the data")
+    """The ranked value among at most ``tail_rows`` counted values, which one window can order."""
+    upto = F.sum("n").over(Window.orderBy("v"))
+    return frame.withColumn("_upto", upto).where(F.col("_upto") > rank).agg(F.min("v")).first()[0]
 
 
 def exact_medians(

@@ -123,15 +123,16 @@ def _send_chunk(items: DataFrame, item: str):
     vocabulary, codes = np.unique(flat, return_inverse=True)
     width = int(lengths.max())
     row = np.repeat(np.arange(len(local)), lengths)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    columns = np.full((len(local), width), len(vocabulary))  # the padding column stays zero
-    values = np.zeros((len(local), width))
-    columns[row, place] = codes
-    values[row, place] = weights
-    dense = None
-    if len(vocabulary) <= 2 * width or len(vocabulary) <= 128:
+    columns = values = dense = None
+    if len(vocabulary) * len(local) <= 2 * CHUNK_CELLS:
         dense = np.zeros((len(vocabulary), len(local)))
         dense[codes, row] = weights
+    else:
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        columns = np.full((len(local), width), len(vocabulary))  # the padding column stays zero
+        values = np.zeros((len(local), width))
+        columns[row, place] = codes
+        values[row, place] = weights
     return items.sparkSession.sparkContext.broadcast(
         {
             "ids": local[item].to_numpy(),

@@ -55,21 +55,26 @@ def keep_last(batches: list[DataFrame], keys: list[str], order: list[str] | None
     return latest_per_key(stacked, keys, ["_seq", *(order or [])]).drop("_seq")
 
 
-def key_index(df: DataFrame, key: str) -> DataFrame:
-    """Dense 0-based position of each distinct key in sorted order.
+def sorted_positions(df: DataFrame, *order: str) -> DataFrame:
+    """Adds the 0-based ``position`` of each row in the order of the given columns.
 
-    A ranking window over all keys would run in one task. Here the keys are range
-    sorted and written once; the position is the offset of the key's partition
-    plus its row number in it, and only the partition sizes are ranked together.
+    A ranking window over all rows would run in one task. Here the rows are range
+    sorted and written once; the position is the offset of the row's partition
+    plus its number in it, and only the partition sizes are ranked together.
     """
-    ordered = df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key)
-    numbered = materialize(ordered.withColumn("_mid", F.monotonically_increasing_id()), "keys")
-    numbered = numbered.select(
-        key, F.shiftright("_mid", 33).alias("_part"), F.col("_mid").bitwiseAND((1 << 33) - 1).alias("_row")
+    ordered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    numbered = materialize(ordered, "sorted").withColumns(
+        {"_part": F.shiftright("_mid", 33), "_row": F.col("_mid").bitwiseAND((1 << 33) - 1)}
     )
     sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # one row per partition of the sort: a size that is known, whatever the data
     return numbered.join(F.broadcast(offsets), "_part").select(
-        key, (F.col("_offset") + F.col("_row")).alias("position")
+        *df.columns, (F.col("_offset") + F.col("_row")).alias("position")
     )
+
+
+def key_index(df: DataFrame, key: str) -> DataFrame:
+    """Dense 0-based position of each distinct non-null key in sorted order."""
+    return sorted_positions(df.select(key).where(F.col(key).isNotNull()).distinct(), key)

@@ -23,6 +23,7 @@ from marketloom.schemas import (
     USER_FEATURES,
 )
 
+# fixed values: columns carried from profiles and catalog
 USER_ATTRIBUTES = ["age", "age_scaled", "location_city", "location_country", "tier"]
 PRODUCT_ATTRIBUTES = [
     "category_id",
@@ -129,6 +130,7 @@ def user_features(df: DataFrame, as_of=FEATURE_EPOCH) -> DataFrame:
     return finish_users(C.with_audit(user_aggregates(df), stamp(as_of)))
 
 
+# fixed values: how a column of two batches is merged
 USER_RULES = {
     "interaction_count": "sum",
     "purchases": "sum",

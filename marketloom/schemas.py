@@ -36,6 +36,7 @@ def _schema(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
+# fixed values: table layouts
 INTERACTIONS = _schema(
     "user_id BIGINT, product_id BIGINT, event_type STRING, timestamp BIGINT, duration_seconds DOUBLE"
 )
@@ -102,6 +103,7 @@ class FeatureView:
         return self.schema.fieldNames()
 
 
+# fixed values: the typed features of each view
 USER_VIEW = FeatureView(
     "user_features",
     ("user_id",),

@@ -84,7 +84,10 @@ def test_svd_predict_recommend_and_errors(spark, rows):
 
 @pytest.mark.parametrize("chunk_cells", [40, 1_000_000])
 @pytest.mark.parametrize("cosine", [True, False])
-def test_recommend_matches_brute_force(spark, rows, cosine, chunk_cells):
+@pytest.mark.parametrize("dense", [True, False])
+def test_recommend_matches_brute_force(spark, rows, monkeypatch, dense, cosine, chunk_cells):
+    if not dense:
+        monkeypatch.setattr(scoring, "CHUNK_CELLS", 0)
     rng = random.Random(2)
     dims = [f"d{j}" for j in range(6)]
 
