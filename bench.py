@@ -39,7 +39,9 @@ def noop(df) -> None:
 
 def build(spark) -> dict:
     """Stage tables are written before the clock starts; each query reads its stage like a job would."""
-    raw, profiles, catalog = X.raw_order_interactions(spark, SF), X.raw_profiles(spark, SF), X.raw_catalog(spark, SF)
+    raw, profiles, catalog = (
+        materialize(view(spark, SF), "raw") for view in (X.raw_order_interactions, X.raw_profiles, X.raw_catalog)
+    )
     cur = materialize(curate.curate(raw, profiles, catalog), "curated")
     products = materialize(features.product_features(cur), "products")
     table = materialize(features.interaction_features(cur), "interactions")

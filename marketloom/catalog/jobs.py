@@ -171,7 +171,7 @@ def f32(column: str, name: str | None = None) -> str:
 @register(
     "feature_view_project",
     with_(
-        f"""SELECT user_id::VARCHAR AS user_id, '2025-01-01 00:00:00' AS event_timestamp, age::BIGINT AS age, {f32('age_scaled')}, location_city, location_country, tier,
+        f"""SELECT user_id::VARCHAR AS user_id, '2025-01-01 00:00:00' AS event_timestamp, trunc(age)::BIGINT AS age, {f32('age_scaled')}, location_city, location_country, tier,
  interaction_count, {f32('activity_frequency')}, {f32('purchase_ratio')}, preferred_category, {f32('category_confidence')} FROM user_features""",
         "user_features",
     ),
@@ -188,7 +188,9 @@ def view_sql(view, alias: str, prefix: str = "", skip: tuple[str, ...] = (), ren
         name = (rename or {}).get(field.name, f"{prefix}{field.name}")
         source = f"{alias}.{field.name}"
         kind = field.dataType.simpleString()
-        columns.append(f32(source, name) if kind == "float" else f"{source}{'::BIGINT' if kind == 'bigint' else ''} AS {name}")
+        # a fraction (an imputed age) becomes an integer by truncation, as in every other integer cast
+        plain = f"trunc({source})::BIGINT" if kind == "bigint" else source
+        columns.append(f32(source, name) if kind == "float" else f"{plain} AS {name}")
     return ", ".join(columns)
 
 

@@ -139,7 +139,7 @@ def cross_score(spark, sf):
 @register(
     "online_lookup",
     with_(
-        f"""SELECT k.user_id, k.product_id, u.age::BIGINT AS age, location_city, category, {r6('price::FLOAT', 'price')}
+        f"""SELECT k.user_id, k.product_id, trunc(u.age)::BIGINT AS age, location_city, category, {r6('price::FLOAT', 'price')}
  FROM (SELECT DISTINCT user_id, product_id FROM raw_interactions WHERE product_id IS NOT NULL) k
  LEFT JOIN user_features u ON k.user_id = u.user_id LEFT JOIN product_features p ON k.product_id = p.product_id AND p.product_id % 2 = 0""",
         RAW, "user_features", "product_features",
