@@ -114,7 +114,7 @@ def _send_chunk(items: DataFrame, item: str):
     """Broadcast one chunk as column arrays. Its size was bounded by ``_chunks``."""
     import numpy as np
 
-    local = items.select(item, "dims", "vals", "norm").toPandas().sort_values(item)
+    local = items.select(item, "dims", "vals", "norm").toArrow().to_pandas().sort_values(item)
     if local.empty:
         return None
     lengths = local["dims"].map(len).to_numpy()
