@@ -7,6 +7,7 @@ from importlib import import_module
 # query name: (module, function); a module may hold ORACLE_SQL for its query
 OPERATORS = {
     "op4_byte_bpe": "bpe",
+    "op9_exact_dedup": "exact_dedup",
 }
 
 
