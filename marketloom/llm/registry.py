@@ -6,6 +6,7 @@ from importlib import import_module
 
 # query name: (module, function); a module may hold ORACLE_SQL for its query
 OPERATORS = {
+    "op2_toxicity": "toxicity",
     "op4_byte_bpe": "bpe",
     "op9_exact_dedup": "exact_dedup",
 }
