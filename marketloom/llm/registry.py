@@ -8,6 +8,7 @@ from importlib import import_module
 OPERATORS = {
     "op2_toxicity": "toxicity",
     "op4_byte_bpe": "bpe",
+    "op5_setsketch": "near_dedup",
     "op9_exact_dedup": "exact_dedup",
 }
 
