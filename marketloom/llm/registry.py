@@ -9,6 +9,8 @@ OPERATORS = {
     "op2_toxicity": "toxicity",
     "op4_byte_bpe": "bpe",
     "op5_setsketch": "near_dedup",
+    "op6_mixing": "mixing",
+    "op8_secrets": "secrets",
     "op9_exact_dedup": "exact_dedup",
 }
 
