@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +36,9 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
 def spread(spark: SparkSession, tasks_per_slot: int = 3) -> int:
     """Partitions for compute-bound stages: a fixed number would not follow the cluster."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks_per_slot * spark.sparkContext.defaultParallelism)
+
+
+def forget(spark: SparkSession) -> None:
+    """Let go of shuffle files whose tables have been written; Spark deletes them once their plans are garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -10,6 +10,7 @@ OPERATORS = {
     "op4_byte_bpe": "bpe",
     "op5_setsketch": "near_dedup",
     "op6_mixing": "mixing",
+    "op7_suffix_array": "repeats",
     "op8_secrets": "secrets",
     "op9_exact_dedup": "exact_dedup",
 }
