@@ -6,7 +6,9 @@ from importlib import import_module
 
 # query name: (module, function); a module may hold ORACLE_SQL for its query
 OPERATORS = {
+    "op1_kd_tree": "topk",
     "op2_toxicity": "toxicity",
+    "op3_line_dedup": "line_dedup",
     "op4_byte_bpe": "bpe",
     "op5_setsketch": "near_dedup",
     "op6_mixing": "mixing",
