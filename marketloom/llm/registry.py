@@ -15,6 +15,7 @@ OPERATORS = {
     "op7_suffix_array": "repeats",
     "op8_secrets": "secrets",
     "op9_exact_dedup": "exact_dedup",
+    "op10_warc": "warc",
 }
 
 
