@@ -161,8 +161,9 @@ def maximal_repeats(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, leng
     """
     if len(starts) < 2:
         return
-    padded = np.concatenate([data, np.zeros(520, np.uint8)])
-    word = np.zeros(len(data) + 256, np.uint64)
+    strides = -(-int((ends - starts).max()) // 128)
+    word = np.zeros(len(data) + 128 * (strides + 2), np.uint64)
+    padded = np.concatenate([data, np.zeros(128 * (strides + 3), np.uint8)])
     for j in range(8):
         word = (word << np.uint64(8)) | padded[j : j + len(word)]
     rank = {8: np.unique(word, return_inverse=True)[1].astype(np.int32)}
@@ -171,15 +172,13 @@ def maximal_repeats(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, leng
         pair = rank[size][:-size].astype(np.uint64) << np.uint64(32) | rank[size][size:].astype(np.uint64)
         size *= 2
         rank[size] = np.unique(pair, return_inverse=True)[1].astype(np.int32)
-    order = np.lexsort((rank[128][starts + 128], rank[128][starts]))
+    order = np.lexsort([rank[128][starts + 128 * i] for i in reversed(range(strides))])
     array, bound = starts[order], ends[order]
     a, b = array[:-1], array[1:]
     same, common = np.ones(len(a), bool), np.zeros(len(a), np.int64)
-    for size in (128, 128, 64, 32, 16, 8):
-        # after an unequal step the smaller ones say how far the equality goes
-        reach = np.minimum(np.maximum(a, b) + common, len(rank[size]) - 1) - np.maximum(a, b)
-        equal = (rank[size][a + reach] == rank[size][b + reach]) & (reach == common)
-        common += np.where(equal, size, 0)
+    for size in (*[128] * strides, 64, 32, 16, 8):
+        # a failed step leaves the place where the smaller ones go on
+        common += np.where(rank[size][a + common] == rank[size][b + common], size, 0)
     for _ in range(7):
         same &= padded[a + common] == padded[b + common]
         common += same

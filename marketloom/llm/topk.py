@@ -136,6 +136,7 @@ def whole_numbers(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the best k of ``vectors`` (vec_id, v) for each of ``queries`` (query_id, v)."""
+    queries = materialize(queries, "queries")
     shards = max(1, math.ceil(vectors.count() / shard_rows))
     blocks = max(1, math.ceil(queries.count() / query_rows))
     home = lambda c: F.pmod(F.xxhash64(c, F.lit("shard")), F.lit(shards))
