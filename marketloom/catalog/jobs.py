@@ -9,6 +9,9 @@ from marketloom.catalog import oracle as O
 from marketloom.catalog.base import register
 from marketloom.catalog.oracle import r6, when, with_
 from marketloom.catalog.scans_sinks import (
+    DAY,
+    dated,
+    pandas_like,
     CURATED_ROWS,
     INTERACTION_ROWS,
     NEW_PRODUCTS,
@@ -31,7 +34,7 @@ from marketloom.schemas import (
     USER_VIEW,
 )
 from marketloom.session import scratch_path
-from marketloom.sources import files, snapshots
+from marketloom.sources import files, listing, snapshots
 from marketloom.streaming import jobs as streams
 
 _CI = ["duration_seconds", "hour_norm", "day_norm", "duration_scaled"]
@@ -149,13 +152,16 @@ def table_sizes(spark, store, *extra):
     ),
 )
 def feature_job(spark, sf):
-    """Two dated batches applied incrementally; applying the second one again changes nothing."""
+    """A full build of the newer date, an update by the older one in a wrong and then in its right form, and a repeat."""
     root = scratch_path(spark, "lake")
     cur = stage(spark, sf, "curated")
-    files.write_date(history(cur), f"{root}/{jobs.CURATED}", "20240114", "event_date")
-    files.write_date(new_batch(cur), f"{root}/{jobs.CURATED}", "20240131", "event_date")
+    curated = f"{root}/{jobs.CURATED}"
+    files.write_date(new_batch(cur), curated, "20240131", "event_date")
+    jobs.feature_job(spark, root)
+    files.write_date(history(cur).where("user_id % 2 = 0"), curated, "20240114", "event_date")
     jobs.feature_job(spark, root, incremental=True, date="20240114")
-    first = jobs.feature_job(spark, root, incremental=True)
+    files.write_date(history(cur), curated, "20240114", "event_date")
+    first = jobs.feature_job(spark, root, incremental=True, date="20240114")
     again = jobs.feature_job(spark, root, incremental=True)
     flags = (F.lit(int(first)).alias("applied_first"), F.lit(int(again)).alias("applied_again"))
     return table_sizes(spark, f"{root}/{jobs.FEATURES}", *flags)
@@ -288,14 +294,20 @@ def transformer_chain(spark, sf):
 # --- streaming ------------------------------------------------------------
 
 
-@register("stream_ingest", with_(f"{RAW_ROWS} FROM raw_interactions", "raw_interactions"))
+@register("stream_ingest", with_(f"{RAW_ROWS}, {DAY} AS ingestion_date FROM raw_interactions", "raw_interactions"))
 def stream_ingest(spark, sf):
-    """Run twice over the same drop zone: the second run finds nothing new."""
+    """One dated drop per day, some with their columns in another order; the second run finds nothing new."""
     drop, target, checkpoint = (scratch_path(spark, n) for n in ("drop", "raw", "checkpoint"))
-    files.write_csv(X.raw_interactions(spark, sf), drop)
+    rows = dated(spark, sf)
+    days = [r[0] for r in rows.select("ingestion_date").distinct().collect()]
+    for n, day in enumerate(sorted(days)):
+        own = rows.where(F.col("ingestion_date") == day).drop("ingestion_date")
+        files.write_csv(pandas_like(own) if n % 2 else own, f"{drop}/{day}")
+        for part in (p for p in listing.list_names(spark, f"{drop}/{day}") if p.endswith(".csv")):
+            listing.rename(spark, f"{drop}/{day}/{part}", f"{drop}/{day}/{day}_{part}")
     for _ in range(2):
         streams.ingest_stream(spark, drop, target, checkpoint, INTERACTIONS, once=True).awaitTermination()
-    return spark.read.parquet(target).drop("ingestion_date")
+    return files.read_dates(spark, target).drop("batch")
 
 
 @register(
@@ -310,11 +322,12 @@ def stream_ingest(spark, sf):
 def stream_feature_update(spark, sf):
     source, store, checkpoint = (scratch_path(spark, n) for n in ("curated", "store", "checkpoint"))
     cur = stage(spark, sf, "curated")
-    history(cur).write.parquet(source)
-    rows = spark.readStream.schema(cur.schema).parquet(source)
-    streams.feature_stream(spark, rows, store, checkpoint, once=True).awaitTermination()
-    new_batch(cur).write.mode("append").parquet(source)
-    streams.feature_stream(spark, rows, store, checkpoint, once=True).awaitTermination()
+    # two queries on one store, each with a checkpoint of its own; the first is started again
+    for n, part in enumerate((history(cur), new_batch(cur))):
+        part.write.parquet(f"{source}/{n}")
+        rows = spark.readStream.schema(cur.schema).parquet(f"{source}/{n}")
+        for _ in range(2 - n):
+            streams.feature_stream(spark, rows, store, f"{checkpoint}/{n}", once=True).awaitTermination()
     return table_sizes(spark, store)
 
 

@@ -114,18 +114,18 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "raw_profiles": (
         (),
-        """SELECT c_custkey AS user_id, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 18 + c_custkey % 63 END AS age,
+        """SELECT CASE WHEN c_custkey % 10 = 9 THEN c_custkey + 1000000000 ELSE c_custkey END AS user_id, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 18 + c_custkey % 63 END AS age,
  n_name AS location_city, r_name AS location_country,
  CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'premium' ELSE 'basic' END AS tier
- FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 10 <> 9""",
+ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     ),
     "raw_catalog": (
         (),
-        """SELECT p_partkey AS product_id, p_name AS product_name, length(p_type) AS category_id, p_type AS category,
+        """SELECT CASE WHEN p_partkey % 25 = 24 THEN p_partkey + 1000000000 ELSE p_partkey END AS product_id, p_name AS product_name, length(p_type) AS category_id, p_type AS category,
  length(split_part(p_name, ' ', 2)) AS subcategory_id, split_part(p_name, ' ', 2) AS subcategory, p_brand AS brand,
  CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_retailprice END AS price, 1.0E0 + (p_size % 9) / 2.0E0 AS rating_avg,
  CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE (p_size * 3)::BIGINT END AS rating_count,
- CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE p_size::BIGINT END AS stock_quantity FROM part WHERE p_partkey % 25 <> 24""",
+ CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE p_size::BIGINT END AS stock_quantity FROM part""",
     ),
     "raw_order_interactions": (
         (),

@@ -218,22 +218,17 @@ def dq_failures(spark, sf):
 
 @register(
     "dq_gate",
-    with_(
-        f"""SELECT '{Q.NOT_NULL} failed on product_id; ' AS expected, (count(*) > 0)::BIGINT AS stopped FROM ({checks_sql('user_interactions', INTERACTION_CHECKS)})
- WHERE success = 0""",
-        RAW,
-    ),
+    with_(f"""SELECT dataset, rule, "column" FROM ({ALL_CHECKS}) WHERE success = 0""", RAW, PROFILES, CATALOG),
 )
 def dq_gate(spark, sf):
-    """The raw interactions must be stopped by the gate; the row says whether they were."""
-    frame = X.raw_interactions(spark, sf)
+    """The checks on whose account the gate stops the raw data, as the error tells them."""
+    raw = {"user_interactions": X.raw_interactions(spark, sf), "user_profiles": X.raw_profiles(spark, sf), "product_catalog": X.raw_catalog(spark, sf)}
     try:
-        Q.gate({"user_interactions": frame})
-        message = ""
+        Q.gate(raw)
+        failed = []
     except Q.QualityGateError as error:
-        message = str(error)
-    expected = f"{Q.NOT_NULL} failed on product_id; "
-    return spark.createDataFrame([(expected, int(expected.rstrip("; ") in message))], "expected STRING, stopped BIGINT")
+        failed = error.failed
+    return spark.createDataFrame(failed, "dataset STRING, rule STRING, `column` STRING")
 
 
 @register(

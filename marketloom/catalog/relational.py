@@ -141,17 +141,18 @@ def cross_score(spark, sf):
     with_(
         f"""SELECT k.user_id, k.product_id, trunc(u.age)::BIGINT AS age, location_city, category, {r6('price::FLOAT', 'price')}
  FROM (SELECT DISTINCT user_id, product_id FROM raw_interactions WHERE product_id IS NOT NULL) k
- LEFT JOIN user_features u ON k.user_id = u.user_id LEFT JOIN product_features p ON k.product_id = p.product_id AND p.product_id % 2 = 0""",
+ LEFT JOIN user_features u ON k.user_id = u.user_id LEFT JOIN (
+ SELECT * REPLACE (CASE WHEN product_id % 2 <> 0 THEN product_id + 1000000000 ELSE product_id END AS product_id) FROM product_features) p ON k.product_id = p.product_id""",
         RAW, "user_features", "product_features",
     ),
 )
 def online_lookup(spark, sf):
-    """Odd products are unknown to the store."""
+    """The store knows odd products under other keys, so they are not found."""
     keys = C.drop_null_keys(X.raw_interactions(spark, sf), "product_id").select("user_id", "product_id").distinct()
     users = stage(spark, sf, "user_features").withColumn("event_timestamp", features.stamp("2025-01-01"))
     products = stage(spark, sf, "product_features").withColumn("event_timestamp", features.stamp("2025-01-01"))
     found = J.online_lookup(keys, users, USER_VIEW, ["age", "location_city"])
-    return J.online_lookup(found, products.where("product_id % 2 = 0"), PRODUCT_VIEW, ["category", "price"])
+    return J.online_lookup(found, products.withColumn("product_id", X.aside("product_id", "product_id % 2 <> 0")), PRODUCT_VIEW, ["category", "price"])
 
 
 # --- aggregates -----------------------------------------------------------
@@ -443,10 +444,10 @@ def sparsity(spark, sf):
 
 @register(
     "cold_start",
-    with_("SELECT count(*) AS cold_users FROM (SELECT user_id FROM raw_order_interactions WHERE event_type = 'purchase' GROUP BY 1 HAVING count(*) < 5)", ORDERS),
+    with_("SELECT count(*) AS cold_users FROM (SELECT user_id FROM raw_order_interactions GROUP BY 1 HAVING count(*) < 5)", ORDERS),
 )
 def cold_start(spark, sf):
-    return A.cold_start(X.raw_order_interactions(spark, sf).where("event_type = 'purchase'"), "user_id")
+    return A.cold_start(X.raw_order_interactions(spark, sf), "user_id")
 
 
 @register(

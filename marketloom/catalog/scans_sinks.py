@@ -13,7 +13,7 @@ from marketloom.operators import quality as Q
 from marketloom.plans import curate, evaluate, features, runs
 from marketloom.schemas import CATALOG, INTERACTIONS, PRODUCT_FEATURES, USER_FEATURES
 from marketloom.session import scratch_path
-from marketloom.sources import files, snapshots
+from marketloom.sources import files, listing, snapshots
 
 RAW_ROWS = f"SELECT user_id, product_id, event_type, timestamp, {r6('duration_seconds', 'duration_seconds')}"
 DAY = "strftime(make_timestamp(timestamp * 1000000), '%Y%m%d')"
@@ -39,10 +39,17 @@ def raw_root(spark, sf):
     return _roots[key]
 
 
+def pandas_like(df):
+    """Columns in another order, one more, and ids written as decimals, as other tools write nullable numbers."""
+    return df.select(
+        F.lit("x").alias("note"), "timestamp", F.concat(F.col("product_id").cast("string"), F.lit(".0")).alias("product_id"), "event_type", "user_id", "duration_seconds"
+    )
+
+
 @register("scan_csv", with_(f"{RAW_ROWS} FROM raw_interactions", "raw_interactions"))
 def scan_csv(spark, sf):
     folder = scratch_path(spark, "drop")
-    files.write_csv(X.raw_interactions(spark, sf), f"{folder}/20240131_user_interactions.csv")
+    files.write_csv(pandas_like(X.raw_interactions(spark, sf)), f"{folder}/20240131_user_interactions.csv")
     return files.read_drop(spark, folder, "20240131", "user_interactions", INTERACTIONS)
 
 
@@ -54,7 +61,7 @@ def scan_parquet(spark, sf):
 @register("scan_csv_fallback", with_(f"{RAW_ROWS} FROM raw_interactions", "raw_interactions"))
 def scan_csv_fallback(spark, sf):
     root = scratch_path(spark, "csv")
-    files.write_csv(X.raw_interactions(spark, sf), f"{root}/ingestion_date=20240131")
+    files.write_csv(pandas_like(X.raw_interactions(spark, sf)), f"{root}/ingestion_date=20240131")
     return files.read_partition(spark, root, schema=INTERACTIONS)
 
 
@@ -117,15 +124,20 @@ def load_snapshot(spark, sf):
     """An absent snapshot is an empty frame; after a commit it is the committed table."""
     root = scratch_path(spark, "store")
     before = snapshots.load_snapshot(spark, root, "user_features", USER_FEATURES)
-    snapshots.save_snapshots(spark, root, {"user_features": stage(spark, sf, "user_features")}, "full")
+    snapshots.save_snapshots(spark, root, {"user_features": stage(spark, sf, "user_features")}, {"full": ""})
     return before.unionByName(snapshots.load_snapshot(spark, root, "user_features", USER_FEATURES))
 
 
 @register("latest_source_file", "SELECT strftime(max(ts), '%Y%m%d') AS latest_date FROM events")
 def latest_source_file(spark, sf):
-    day = F.date_format("ts", "yyyyMMdd")
-    names = X.table(spark, sf, "events").select(F.concat(day, F.lit("_user_interactions.csv")).alias("name"))
-    return files.latest_source_date(names, "name")
+    """One drop per day of events; the newest is found by its name."""
+    folder, suffix = scratch_path(spark, "drops"), "_user_interactions.csv"
+    X.table(spark, sf, "events").select("event_id", F.date_format("ts", "yyyyMMdd").alias("day")).write.partitionBy("day").csv(folder)
+    for name in listing.list_names(spark, folder):
+        if name.startswith("day="):
+            listing.rename(spark, f"{folder}/{name}", f"{folder}/{name[4:]}{suffix}")
+    newest = files.latest_source_file(spark, folder, suffix)
+    return files.latest_source_date(spark.read.csv(f"{folder}/{newest}"), F.lit(newest))
 
 
 @register(
@@ -226,9 +238,9 @@ def sink_feature_snapshot(spark, sf):
     """The second version is computed from the first one and replaces it."""
     root = scratch_path(spark, "store")
     cur = stage(spark, sf, "curated")
-    snapshots.save_snapshots(spark, root, {"product_features": features.product_features(history(cur))}, "day-1")
+    snapshots.save_snapshots(spark, root, {"product_features": features.product_features(history(cur))}, {"day-1": ""})
     stored = snapshots.load_snapshot(spark, root, "product_features", PRODUCT_FEATURES)
-    snapshots.save_snapshots(spark, root, {"product_features": features.update_products(stored, new_batch(cur))}, "day-2")
+    snapshots.save_snapshots(spark, root, {"product_features": features.update_products(stored, new_batch(cur))}, {"day-1": "", "day-2": ""})
     return snapshots.load_snapshot(spark, root, "product_features", PRODUCT_FEATURES)
 
 

@@ -6,16 +6,24 @@ Each view exists twice: as a DataFrame here and as DuckDB SQL in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HISTORY_END = 1705276800  # 2024-01-15 UTC: rows before it are history, the rest a new batch
 
 
+ASIDE = 1_000_000_000  # moves a key out of the range that events use
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def aside(key: str, condition: str) -> Column:
+    """The key, moved where the condition holds: joins find rows without a partner on either side."""
+    return F.when(F.expr(condition), F.col(key) + ASIDE).otherwise(F.col(key))
+
+
 def raw_interactions(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
     rows = events.select(
@@ -35,13 +43,13 @@ def raw_interactions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_profiles(spark: SparkSession, sf: str) -> DataFrame:
-    customer = table(spark, sf, "customer").where("c_custkey % 10 <> 9")
+    customer = table(spark, sf, "customer")
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     return (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
-            F.col("c_custkey").alias("user_id"),
+            aside("c_custkey", "c_custkey % 10 = 9").alias("user_id"),
             F.when(F.col("c_custkey") % 11 != 0, 18 + F.col("c_custkey") % 63).alias("age"),
             F.col("n_name").alias("location_city"),
             F.col("r_name").alias("location_country"),
@@ -53,11 +61,11 @@ def raw_profiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part").where("p_partkey % 25 <> 24")
+    part = table(spark, sf, "part")
     key, size = F.col("p_partkey"), F.col("p_size").cast("bigint")
     sub = F.split_part("p_name", F.lit(" "), F.lit(2))
     return part.select(
-        key.alias("product_id"),
+        aside("p_partkey", "p_partkey % 25 = 24").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.length("p_type").cast("bigint").alias("category_id"),
         F.col("p_type").alias("category"),

@@ -300,7 +300,11 @@ def labelled(report: DataFrame) -> DataFrame:
 
 
 class QualityGateError(RuntimeError):
-    """A dataset was empty or failed its suite."""
+    """A dataset was empty or failed its suite; ``failed`` has (dataset, rule, column) of every failed check."""
+
+    def __init__(self, message: str, failed: list[tuple[str, str, str]] = ()):
+        super().__init__(message)
+        self.failed = list(failed)
 
 
 def gate(datasets: dict[str, DataFrame], coerce_first: bool = False) -> DataFrame:
@@ -313,7 +317,8 @@ def gate(datasets: dict[str, DataFrame], coerce_first: bool = False) -> DataFram
     for name, df in datasets.items():
         part = validate(df, name, coerce_first)
         results = part if results is None else results.unionByName(part)
-    failed = [r["message"] for r in failures(results).orderBy("dataset", "rule", "column").collect()]
+    failed = failures(results).orderBy("dataset", "rule", "column").collect()
     if empty or failed:
-        raise QualityGateError("; ".join([f"{n} is empty" for n in empty] + failed))
+        told = [f"{n} is empty" for n in empty] + [r["message"] for r in failed]
+        raise QualityGateError("; ".join(told), [(r["dataset"], r["rule"], r["column"]) for r in failed])
     return results

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
 from datetime import date as Date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,13 +13,13 @@ from marketloom.plans import curate as curation
 from marketloom.plans import features as feat
 from marketloom.schemas import (
     CATALOG,
-    FEATURE_EPOCH,
     INTERACTION_FEATURES,
     INTERACTIONS,
     PRODUCT_FEATURES,
     PROFILES,
     USER_FEATURES,
 )
+from marketloom.session import materialize
 from marketloom.sources import files, listing, snapshots
 
 # fixed values: layout below the data root
@@ -29,12 +30,18 @@ RAW = {
 }
 CURATED = "curated"
 FEATURES = "processed/features"
+QUALITY = "quality"
 
 
 def today() -> str:
     return Date.today().strftime("%Y%m%d")
 
 
+def now() -> str:
+    """The time of a run, as audit and event time."""
+    return datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def ingest_csv(spark: SparkSession, drop: str, root: str, name: str, date: str | None = None) -> int:
     """Land one dated CSV drop as a Parquet partition; the row count comes with the write."""
     date = date or today()
@@ -67,8 +74,9 @@ def load_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def curate_job(spark: SparkSession, root: str, created_at=FEATURE_EPOCH, **options) -> str:
+def curate_job(spark: SparkSession, root: str, created_at: str | None = None, **options) -> str:
     """Curate the newest raw partitions into ``event_date=`` and record the lineage."""
+    created_at = created_at or now()
     raw = load_raw(spark, root)
     days = {n: listing.latest_partition(spark, f"{root}/{p}") for n, p in RAW.items()}
     event_date = days["user_interactions"]
@@ -85,55 +93,92 @@ def curate_job(spark: SparkSession, root: str, created_at=FEATURE_EPOCH, **optio
     return event_date
 
 
+def content_mark(df: DataFrame) -> str:
+    """Row count and order-free hash of all values: tells a corrected date from the same one read again."""
+    columns = sorted(df.columns)
+    row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*(F.col(f"`{c}`") for c in columns)).cast("decimal(38,0)"))).first()
+    return f"{row[0]}:{row[1]}"
+
+
 def feature_job(
     spark: SparkSession,
     root: str,
     incremental: bool = False,
     date: str | None = None,
-    as_of=FEATURE_EPOCH,
+    as_of: str | None = None,
 ) -> bool:
     """Build (or update by one curated partition) the three feature snapshots.
 
-    Returns False if an incremental batch was applied before: its counts are not
-    added twice.
+    A full build holds its own date alone. An update adds a date that the current
+    version does not hold, older or newer; a date that it holds with the same rows
+    changes nothing (False); a date that it holds with other rows replaces its old
+    contribution: all dates are built again, in order.
     """
+    as_of = as_of or now()
     curated_root, store = f"{root}/{CURATED}", f"{root}/{FEATURES}"
     day = (date if incremental else None) or listing.latest_partition(spark, curated_root, "event_date")
-    batch = f"{'inc' if incremental else 'full'}-{day}"
-    if incremental and batch in snapshots.applied_batches(spark, store):
+    read = lambda d: files.read_partition(spark, curated_root, d, "event_date")
+    batch, mark = f"date:{day}", content_mark(read(day))
+    held = snapshots.held_batches(spark, store) if incremental else {}
+    if held.get(batch) == mark:
         return False
-    df = files.read_partition(spark, curated_root, day, "event_date")
-    snapshots.save_snapshots(spark, store, build_features(spark, store, df, incremental, as_of), batch)
+    if batch not in held:
+        tables = build_features(spark, store, read(day), incremental, as_of)
+    else:
+        if any(not b.startswith("date:") for b in held):
+            raise ValueError(f"{store} also holds streamed rows, so date {day} cannot be replaced")
+        days = sorted(b.removeprefix("date:") for b in held)
+        tables = _from_scratch(read(days[0]), as_of)
+        for d in days[1:]:
+            tables = _updated({n: materialize(t, n) for n, t in tables.items()}, read(d), as_of)
+    snapshots.save_snapshots(spark, store, tables, held | {batch: mark})
     return True
 
 
 def build_features(spark: SparkSession, store: str, df: DataFrame, incremental: bool, as_of) -> dict[str, DataFrame]:
     """The three feature tables, from scratch or on top of the current snapshot."""
     if not incremental or snapshots.current_version(spark, store) is None:
-        return {
-            "user_features": feat.user_features(df, as_of),
-            "product_features": feat.product_features(df, as_of),
-            "interaction_features": feat.interaction_features(df, as_of),
-        }
-    load = snapshots.load_snapshot
+        return _from_scratch(df, as_of)
+    schemas = {"user_features": USER_FEATURES, "product_features": PRODUCT_FEATURES, "interaction_features": INTERACTION_FEATURES}
+    return _updated({n: snapshots.load_snapshot(spark, store, n, s) for n, s in schemas.items()}, df, as_of)
+
+
+def _from_scratch(df: DataFrame, as_of) -> dict[str, DataFrame]:
     return {
-        "user_features": feat.update_users(load(spark, store, "user_features", USER_FEATURES), df, as_of),
-        "product_features": feat.update_products(load(spark, store, "product_features", PRODUCT_FEATURES), df, as_of),
-        "interaction_features": feat.update_interactions(
-            load(spark, store, "interaction_features", INTERACTION_FEATURES), df, as_of
-        ),
+        "user_features": feat.user_features(df, as_of),
+        "product_features": feat.product_features(df, as_of),
+        "interaction_features": feat.interaction_features(df, as_of),
     }
 
 
-def data_job(spark: SparkSession, drop: str, catalog: str, root: str, date: str | None = None, coerce_first: bool = True) -> str:
-    """All steps for one date: ingest, quality gate, curation, incremental features."""
+def _updated(old: dict[str, DataFrame], df: DataFrame, as_of) -> dict[str, DataFrame]:
+    return {
+        "user_features": feat.update_users(old["user_features"], df, as_of),
+        "product_features": feat.update_products(old["product_features"], df, as_of),
+        "interaction_features": feat.update_interactions(old["interaction_features"], df, as_of),
+    }
+
+
+def data_job(
+    spark: SparkSession, drop: str, catalog: str, root: str, date: str | None = None, coerce_first: bool = True, as_of: str | None = None
+) -> str:
+    """All steps for one date: ingest, quality report and gate, curation, incremental features.
+
+    ``as_of`` (default: the time of the run) becomes audit time everywhere. The report
+    is written before the gate may stop the run.
+    """
+    as_of = as_of or now()
     if date is None:
         newest = files.latest_source_file(spark, drop, "_user_interactions.csv")
         date = newest.split("_")[0] if newest else today()
     for name in ("user_interactions", "user_profiles"):
         ingest_csv(spark, drop, root, name, date)
     ingest_catalog(spark, catalog, root, date)
-    quality.gate(load_raw(spark, root), coerce_first)
-    event_date = curate_job(spark, root)
-    feature_job(spark, root, incremental=True)
+    raw = load_raw(spark, root)
+    for name, df in raw.items():
+        report = quality.labelled(quality.suite_report(df, name, coerce_first))
+        report.select("line").write.mode("overwrite").text(f"{root}/{QUALITY}/ingestion_date={date}/dataset={name}")
+    quality.gate(raw, coerce_first)
+    event_date = curate_job(spark, root, as_of)
+    feature_job(spark, root, incremental=True, as_of=as_of)
     return event_date

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,14 +17,43 @@ from marketloom.sources import listing
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, infer: bool = False
 ) -> DataFrame:
-    """CSV with a header line. Inferring types costs one more pass over the file."""
+    """CSV with a header line, which names the columns whatever their order.
+
+    With a schema all fields are read as text, its columns are taken by name (a missing
+    one is an error, others are left out) and converted as ``from_text`` says. Without
+    one the types may be inferred, at the price of one more pass over the file.
+    """
     paths = [path] if isinstance(path, str) else path
     for p in paths:
         if not listing.exists(spark, p):
             raise FileNotFoundError(p)
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
-    return reader.csv(paths)
+    if schema is None:
+        return reader.option("inferSchema", infer).csv(paths)
+    # files of one read may order their columns differently
+    frames = [from_text(reader.csv(p), schema) for p in paths]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Typed columns of text fields, by name.
+
+    Whole numbers may be written as ``34.0``. An empty field is null. An id that cannot be
+    read is 0, so that its row is kept and counted; any other unreadable field is null.
+    """
+    missing = [f.name for f in schema if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing in the header: {', '.join(missing)}")
+    out = []
+    for field in schema:
+        text, kind = F.trim(F.col(f"`{field.name}`")), field.dataType
+        value = F.col(f"`{field.name}`") if isinstance(kind, T.StringType) else text.try_cast(kind)
+        if isinstance(kind, T.IntegralType):
+            value = F.coalesce(value, text.try_cast("double").try_cast(kind))
+            if field.name.endswith("_id"):
+                value = F.when(F.length(text) > 0, F.coalesce(value, F.lit(0).cast(kind)))
+        out.append(value.alias(field.name))
+    return df.select(*out)
 
 
 def read_drop(spark: SparkSession, folder: str, date: str, name: str, schema: T.StructType) -> DataFrame:
@@ -97,9 +128,9 @@ def read_catalog_json(
     return flatten_structs(items.select("p.*"))
 
 
-def latest_source_date(files: DataFrame, name: str = "_metadata.file_name") -> DataFrame:
+def latest_source_date(files: DataFrame, name: str | Column = "_metadata.file_name") -> DataFrame:
     """Largest date prefix among file names, as one row; by default of the files behind a scan."""
-    prefix = before_underscore(F.col(name))
+    prefix = before_underscore(F.col(name) if isinstance(name, str) else name)
     dates = files.select(prefix.alias("d")).where(F.col("d").rlike("^[0-9]{8}$"))
     return dates.agg(F.max("d").alias("latest_date"))
 

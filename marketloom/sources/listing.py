@@ -33,6 +33,18 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(target, False).close()
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, target = _fs(spark, path)
+    if not fs.rename(target, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
 def partition_values(spark: SparkSession, root: str, key: str) -> list[str]:
     return [
         n.split("=", 1)[1] for n in list_names(spark, root) if re.match(f"^{re.escape(key)}=", n)

@@ -2,8 +2,9 @@
 
 A version is a directory ``v=NNNNNN`` with one Parquet table per name. It counts
 once its marker file exists, and the marker is written last, so a job that dies
-half way leaves the previous version current. The marker's name carries the id
-of the batch that made the version, which makes re-running a batch a no-op.
+half way leaves the previous version current. A version also holds the list of the
+batches in it (a date, or a streaming query with its last batch) with a mark of each,
+so whether a batch is applied is asked of the current version alone.
 """
 
 from __future__ import annotations
@@ -14,28 +15,27 @@ from pyspark.sql import types as T
 from marketloom.sources import listing
 
 MARKER = "COMMITTED"
+BATCHES = "batches"
+KEPT_VERSIONS = 3  # readers of an older version finish before it goes
 
 
-def _versions(spark: SparkSession, root: str) -> dict[int, str]:
-    """Committed versions with the batch id of each."""
-    found = {}
-    for name in listing.list_names(spark, root):
-        if not name.startswith("v="):
-            continue
-        for entry in listing.list_names(spark, f"{root}/{name}"):
-            if entry.startswith(f"{MARKER}."):
-                found[int(name[2:])] = entry.split(".", 1)[1]
-    return found
-
-
-def applied_batches(spark: SparkSession, root: str) -> set[str]:
-    return set(_versions(spark, root).values())
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    names = [n for n in listing.list_names(spark, root) if n.startswith("v=")]
+    return [int(n[2:]) for n in names if listing.exists(spark, f"{root}/{n}/{MARKER}")]
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
     return max(_versions(spark, root), default=None)
 
 
+def held_batches(spark: SparkSession, root: str) -> dict[str, str]:
+    """Batch to mark, of the current version: one entry per date and per streaming query."""
+    version = current_version(spark, root)
+    if version is None:
+        return {}
+    return {r[0]: r[1] for r in spark.read.schema("batch STRING, mark STRING").json(f"{root}/v={version:06d}/{BATCHES}").collect()}
+
+
 def load_snapshot(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
     """The current table, or an empty frame before the first commit. Read errors are not swallowed."""
     version = current_version(spark, root)
@@ -44,8 +44,8 @@ def load_snapshot(spark: SparkSession, root: str, name: str, schema: T.StructTyp
     return spark.read.parquet(f"{root}/v={version:06d}/{name}")
 
 
-def save_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame], batch_id: str) -> int:
-    """Write all tables as a new version and commit it under ``batch_id``.
+def save_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame], batches: dict[str, str]) -> int:
+    """Write all tables as a new version that holds ``batches``, commit it, and drop old versions.
 
     Never writes where it reads: the new version may be computed from the old one.
     """
@@ -54,5 +54,8 @@ def save_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame],
     folder = f"{root}/v={version:06d}"
     for name, df in tables.items():
         df.write.parquet(f"{folder}/{name}")
-    listing.touch(spark, f"{folder}/{MARKER}.{batch_id}")
+    spark.createDataFrame(sorted(batches.items()), "batch STRING, mark STRING").coalesce(1).write.json(f"{folder}/{BATCHES}")
+    listing.touch(spark, f"{folder}/{MARKER}")
+    for old in sorted(_versions(spark, root))[:-KEPT_VERSIONS]:
+        listing.remove(spark, f"{root}/v={old:06d}")
     return version

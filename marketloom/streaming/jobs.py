@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketloom.operators.windows import keep_last
 from marketloom.plans.jobs import build_features
 from marketloom.schemas import FEATURE_EPOCH
-from marketloom.sources import snapshots
+from marketloom.sources import files, snapshots
 
 POLL = "60 seconds"  # fixed value
 
@@ -28,23 +29,36 @@ def ingest_stream(
     once: bool = False,
     interval: str = POLL,
 ) -> StreamingQuery:
-    """Land CSV files as they arrive, each exactly once, under the date their name starts with."""
-    source = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .csv(drop)
-        .withColumn("ingestion_date", F.regexp_extract("_metadata.file_name", "^([0-9]{8})_", 1))
-    )
-    writer = (
-        source.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("ingestion_date")
-        .outputMode("append")
-    )
+    """Land CSV files as they arrive, each exactly once, under the date their name starts with.
+
+    The stream brings file names; each batch reads its files by their headers. A batch has
+    its own folder below the date, which a replay overwrites. Names without a date stop
+    the query.
+    """
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        # a name per file of one batch, at most maxFilesPerTrigger
+        paths = [r[0] for r in batch.select("path").distinct().collect()]
+        dates = {p: re.match(r"(\d{8})_", p.rsplit("/", 1)[-1]) for p in paths}
+        if undated := [p for p, d in dates.items() if not d]:
+            raise ValueError(f"no date in the names of {undated}")
+        for date in sorted({d[1] for d in dates.values()}):
+            rows = files.read_csv(session, sorted(p for p, d in dates.items() if d[1] == date), schema)
+            rows.write.mode("overwrite").parquet(f"{target}/ingestion_date={date}/batch={query_id(session)}-{batch_id}")
+
+    listed = spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+    listed = listed.option("maxFilesPerTrigger", 1000).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    names = listed.load(drop)
+    writer = names.select("path").writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return _trigger(writer, once, interval).start()
 
 
+def query_id(session: SparkSession) -> str:
+    """Identity of the streaming query whose batch is at hand; it is kept in the query's checkpoint."""
+    return session.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def feature_stream(
     spark: SparkSession,
     curated: DataFrame,
@@ -56,18 +70,20 @@ def feature_stream(
 ) -> StreamingQuery:
     """Apply each micro-batch of curated rows to the feature snapshots.
 
-    A batch that was committed before a restart is skipped by its id, so replays
-    do not add its counts again.
+    The store keeps the last batch of every query, by the id in the query's checkpoint: a
+    batch that was committed before a restart is not added again, and other queries on the
+    same store are not confused with it. A new checkpoint is a new query; what it reads
+    counts.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        name = f"stream-{batch_id}"
-        if name in snapshots.applied_batches(session, store) or batch.isEmpty():
+        held, name = snapshots.held_batches(session, store), f"query:{query_id(session)}"
+        if int(held.get(name, -1)) >= batch_id or batch.isEmpty():
             return
         batch.persist()
         try:
-            snapshots.save_snapshots(session, store, build_features(session, store, batch, True, as_of), name)
+            snapshots.save_snapshots(session, store, build_features(session, store, batch, True, as_of), held | {name: str(batch_id)})
         finally:
             batch.unpersist()
 
@@ -91,11 +107,11 @@ def upsert_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        label = f"upsert-{batch_id}"
-        if label in snapshots.applied_batches(session, store):
+        held, label = snapshots.held_batches(session, store), f"query:{query_id(session)}"
+        if int(held.get(label, -1)) >= batch_id:
             return
         stored = snapshots.load_snapshot(session, store, name, schema)
-        snapshots.save_snapshots(session, store, {name: keep_last([stored, batch], keys, order)}, label)
+        snapshots.save_snapshots(session, store, {name: keep_last([stored, batch], keys, order)}, held | {label: str(batch_id)})
 
     writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, once, interval).start()

@@ -93,12 +93,17 @@ def test_catalog_documents(spark, tmp_path):
 
 def test_half_written_snapshot_is_ignored(spark, tmp_path):
     root = str(tmp_path / "store")
-    snapshots.save_snapshots(spark, root, {"t": spark.range(3)}, "a")
+    snapshots.save_snapshots(spark, root, {"t": spark.range(3)}, {"a": "1"})
     spark.range(9).write.parquet(f"{root}/v=000002/t")  # died before its marker
     assert snapshots.load_snapshot(spark, root, "t", spark.range(1).schema).count() == 3
-    assert snapshots.save_snapshots(spark, root, {"t": spark.range(5)}, "b") == 3
+    assert snapshots.save_snapshots(spark, root, {"t": spark.range(5)}, {"a": "1", "b": "2"}) == 3
     assert snapshots.load_snapshot(spark, root, "t", spark.range(1).schema).count() == 5
-    assert snapshots.applied_batches(spark, root) == {"a", "b"}
+    assert snapshots.held_batches(spark, root) == {"a": "1", "b": "2"}
+    for n in range(4):
+        snapshots.save_snapshots(spark, root, {"t": spark.range(n)}, {"c": str(n)})
+    assert snapshots.held_batches(spark, root) == {"c": "3"}
+    # versions that no reader should still need are gone
+    assert len([n for n in listing.list_names(spark, root) if listing.exists(spark, f"{root}/{n}/{snapshots.MARKER}")]) == snapshots.KEPT_VERSIONS
 
 
 def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_path):
@@ -193,17 +198,112 @@ def test_run_selection(spark, tmp_path):
     assert [r["run_id"] for r in runs.recent_runs(ledger, 2).collect()] == ["c", "b"]
 
 
-def test_feature_stream_skips_committed_batches(spark, tmp_path):
-    source, store = str(tmp_path / "in"), str(tmp_path / "store")
-    schema = "user_id BIGINT, product_id BIGINT, event_type STRING, timestamp BIGINT"
-    df = spark.createDataFrame([(1, 1, "view", NOON), (1, 2, "purchase", NOON)], schema)
+def users_of(spark, store):
+    rows = snapshots.load_snapshot(spark, store, "user_features", USER_FEATURES).collect()
+    return {r["user_id"]: r["interaction_count"] for r in rows}
+
+
+EVENT_ROWS = "user_id BIGINT, product_id BIGINT, event_type STRING, timestamp BIGINT"
+
+
+def test_streams_on_one_store(spark, tmp_path):
+    store = str(tmp_path / "store")
+    for name, count in (("a", 2), ("b", 1)):
+        part = spark.createDataFrame([(1, i, "view", NOON + i) for i in range(count)], EVENT_ROWS)
+        part.write.parquet(str(tmp_path / name))
+        rows = spark.readStream.schema(part.schema).parquet(str(tmp_path / name))
+        # started again, a query has nothing to add
+        for _ in range(2):
+            streams.feature_stream(spark, rows, store, str(tmp_path / f"c-{name}"), once=True).awaitTermination()
+    assert users_of(spark, store) == {1: 3} and snapshots.current_version(spark, store) == 2
+
+
+def test_replayed_batch_is_not_added_again(spark, tmp_path):
+    source, store, checkpoint = (str(tmp_path / n) for n in ("in", "store", "c"))
+    df = spark.createDataFrame([(1, 1, "view", NOON), (1, 2, "purchase", NOON)], EVENT_ROWS)
     df.write.parquet(source)
     rows = spark.readStream.schema(df.schema).parquet(source)
-    # a lost checkpoint replays batch 0, which is already in the store
-    for checkpoint in ("c1", "c2"):
-        streams.feature_stream(spark, rows, store, str(tmp_path / checkpoint), once=True).awaitTermination()
-    users = snapshots.load_snapshot(spark, store, "user_features", USER_FEATURES)
-    assert users.first()["interaction_count"] == 2 and snapshots.current_version(spark, store) == 1
+    run = lambda: streams.feature_stream(spark, rows, store, checkpoint, once=True).awaitTermination()
+    run()
+    # died after the store was written and before the stream noted it
+    for name in ("0", ".0.crc"):
+        (tmp_path / "c" / "commits" / name).unlink()
+    run()
+    assert users_of(spark, store) == {1: 2} and snapshots.current_version(spark, store) == 1
+
+
+def test_upserts_of_two_streams(spark, tmp_path):
+    store = str(tmp_path / "store")
+    for name, value in (("a", 1), ("b", 2)):
+        part = spark.createDataFrame([(value, 0), (9, value)], "k BIGINT, v BIGINT")
+        part.write.parquet(str(tmp_path / name))
+        rows = spark.readStream.schema(part.schema).parquet(str(tmp_path / name))
+        streams.upsert_stream(spark, rows, store, "t", ["k"], ["v"], str(tmp_path / f"c-{name}"), once=True).awaitTermination()
+    got = snapshots.load_snapshot(spark, store, "t", part.schema)
+    assert sorted(map(tuple, got.collect())) == [(1, 0), (2, 0), (9, 2)]
+
+
+def curated_day(spark, root, date, rows):
+    files.write_date(spark.createDataFrame(rows, EVENT_ROWS), f"{root}/{jobs.CURATED}", date, "event_date")
+
+
+def test_dates_are_held_once_and_replaced(spark, tmp_path):
+    root = str(tmp_path)
+    store = f"{root}/{jobs.FEATURES}"
+    curated_day(spark, root, "20240102", [(1, 1, "view", NOON + 86_400), (1, 2, "view", NOON + 86_401)])
+    assert jobs.feature_job(spark, root)
+    # the full build holds its date already
+    assert not jobs.feature_job(spark, root, incremental=True)
+    assert users_of(spark, store) == {1: 2}
+    # an older date that the current version lacks is added
+    curated_day(spark, root, "20240101", [(1, 1, "view", NOON)])
+    assert jobs.feature_job(spark, root, incremental=True, date="20240101")
+    assert users_of(spark, store) == {1: 3}
+    # a corrected date replaces what it gave before
+    curated_day(spark, root, "20240101", [(1, 1, "view", NOON), (1, 1, "view", NOON + 5), (2, 1, "view", NOON)])
+    assert jobs.feature_job(spark, root, incremental=True, date="20240101")
+    assert users_of(spark, store) == {1: 4, 2: 1}
+    assert not jobs.feature_job(spark, root, incremental=True, date="20240101")
+    # a full build starts over and holds the newest date alone
+    assert jobs.feature_job(spark, root)
+    assert users_of(spark, store) == {1: 2}
+    assert jobs.feature_job(spark, root, incremental=True, date="20240101")
+    assert users_of(spark, store) == {1: 4, 2: 1}
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    path = tmp_path / "20240101_user_interactions.csv"
+    path.write_text(
+        "event_type,note,product_id,user_id,duration_seconds,timestamp\n"
+        f"view,x,2.0,1,34.0,{NOON}.0\nclick,y,x3,7,,{NOON}\nview,z,,9007199254740993,1.5,soon\n"
+    )
+    rows = files.read_csv(spark, str(path), INTERACTIONS).collect()
+    got = [(r["user_id"], r["product_id"], r["event_type"], r["timestamp"], r["duration_seconds"]) for r in rows]
+    assert got == [(1, 2, "view", NOON, 34.0), (7, 0, "click", NOON, None), (9007199254740993, None, "view", None, 1.5)]
+    (tmp_path / "20240101_user_profiles.csv").write_text("age,user_id\n34.0,1\n")
+    with pytest.raises(ValueError, match="location_city"):
+        files.read_csv(spark, str(tmp_path / "20240101_user_profiles.csv"), PROFILES)
+
+
+def test_ingest_stream_lands_by_date_and_name(spark, tmp_path):
+    drop, target = tmp_path / "drop", str(tmp_path / "raw")
+    drop.mkdir()
+    header = ["user_id,product_id,event_type,timestamp,duration_seconds", "timestamp,product_id,user_id,duration_seconds,event_type"]
+    (drop / "20240101_user_interactions.csv").write_text(f"{header[0]}\n1,2,view,{NOON},5\n")
+    (drop / "20240102_user_interactions.csv").write_text(f"{header[1]}\n{NOON},4,3,5,click\n")
+    for _ in range(2):
+        streams.ingest_stream(spark, str(drop), target, str(tmp_path / "c"), INTERACTIONS, once=True).awaitTermination()
+    rows = files.read_dates(spark, target).collect()
+    assert sorted((r["user_id"], r["product_id"], r["event_type"], r["ingestion_date"]) for r in rows) == [(1, 2, "view", "20240101"), (3, 4, "click", "20240102")]
+
+
+def test_report_is_there_after_the_gate_stops(spark, tmp_path):
+    drop, root = tmp_path / "drop", str(tmp_path / "lake")
+    write_drop(drop, "20240103", [(1, 1, "steal", NOON, 5)], PEOPLE, [product(1)])
+    with pytest.raises(Q.QualityGateError):
+        jobs.data_job(spark, str(drop), str(drop), root)
+    lines = [r["value"] for r in spark.read.text(f"{root}/{jobs.QUALITY}/ingestion_date=20240103").collect()]
+    assert "Total Records: 1" in lines
 
 
 class FakeSession:

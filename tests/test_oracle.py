@@ -9,9 +9,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from marketloom import catalog
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.load()
 
 
 @pytest.fixture(scope="module")
