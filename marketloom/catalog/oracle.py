@@ -209,6 +209,43 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) AS rank FROM content_scores
  ANTI JOIN train USING (user_id, product_id) QUALIFY rank <= 10""",
     ),
+    # the two leading singular vectors by power iteration on A'A, held as a list of lists
+    "svd_m": (("train",), "SELECT user_id, product_id, sum(implicit_score)::DOUBLE AS score FROM train GROUP BY 1, 2"),
+    "svd_items": (("svd_m",), "SELECT product_id, row_number() OVER (ORDER BY product_id) AS i FROM (SELECT DISTINCT product_id FROM svd_m)"),
+    "svd_mi": (("svd_items",), "SELECT user_id, i, score FROM svd_m JOIN svd_items USING (product_id)"),
+    "svd_pairs": (("svd_mi",), "SELECT a.i, b.i AS j, sum(a.score * b.score) AS s FROM svd_mi a JOIN svd_mi b USING (user_id) GROUP BY 1, 2"),
+    "svd_dense": (
+        ("svd_pairs",),
+        """SELECT list(r ORDER BY i) AS g FROM (SELECT x.i, list(coalesce(s, 0.0e0) ORDER BY y.i) AS r
+ FROM svd_items x CROSS JOIN svd_items y LEFT JOIN svd_pairs p ON x.i = p.i AND y.i = p.j GROUP BY 1)""",
+    ),
+    "svd_one": (
+        ("svd_dense",),
+        """SELECT 0 AS n, [1.0e0 FOR r IN g] AS v FROM svd_dense UNION ALL
+ SELECT n + 1, [x / sqrt(list_dot_product(w, w)) FOR x IN w] FROM (SELECT n, [list_dot_product(r, v) FOR r IN g] AS w FROM svd_one, svd_dense WHERE n < 200)""",
+    ),
+    "svd_first": (("svd_one",), "SELECT v AS v1, sqrt(list_dot_product(v, [list_dot_product(r, v) FOR r IN g])) AS s1 FROM svd_one, svd_dense WHERE n = 200"),
+    # A'A without its first direction
+    "svd_rest": (("svd_first",), "SELECT [[g[i][j] - s1 * s1 * v1[i] * v1[j] FOR j IN range(1, len(g) + 1)] FOR i IN range(1, len(g) + 1)] AS h FROM svd_first, svd_dense"),
+    "svd_two": (
+        ("svd_rest",),
+        """SELECT 0 AS n, [1.0e0 + i % 7 FOR i IN range(len(h))] AS v FROM svd_rest UNION ALL
+ SELECT n + 1, [x / sqrt(list_dot_product(w, w)) FOR x IN w] FROM (SELECT n, [list_dot_product(r, v) FOR r IN h] AS w FROM svd_two, svd_rest WHERE n < 1500)""",
+    ),
+    "svd_second": (("svd_two",), "SELECT v AS v2, sqrt(list_dot_product(v, [list_dot_product(r, v) FOR r IN h])) AS s2 FROM svd_two, svd_rest WHERE n = 1500"),
+    "svd_v": (("svd_second",), "SELECT product_id, i, v1[i] AS x, v2[i] AS y FROM svd_items, svd_first, svd_second"),
+    "svd_u": (("svd_v",), "SELECT user_id, sum(score * x) AS x, sum(score * y) AS y FROM svd_mi JOIN svd_v USING (i) GROUP BY 1"),
+    "svd_predicted": (
+        ("svd_u", "test"),
+        """SELECT t.user_id, t.product_id, t.implicit_score, coalesce(u.x * v.x + u.y * v.y, 0) AS prediction
+ FROM test t LEFT JOIN svd_u u USING (user_id) LEFT JOIN svd_v v USING (product_id)""",
+    ),
+    "svd_recs": (
+        ("svd_u",),
+        """SELECT user_id, product_id, round(u.x * v.x + u.y * v.y, 9) AS score,
+ row_number() OVER (PARTITION BY user_id ORDER BY round(u.x * v.x + u.y * v.y, 9) DESC, product_id) AS rank
+ FROM svd_u u CROSS JOIN svd_v v ANTI JOIN svd_m USING (user_id, product_id) QUALIFY rank <= 10""",
+    ),
 }
 
 
@@ -224,5 +261,8 @@ def with_(body: str, *names: str) -> str:
 
     for name in names:
         add(name)
-    prelude = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in needed)
-    return f"WITH {prelude}\n{body}" if needed else body
+    # the steps of the iteration would compute what they read again and again
+    kept = lambda n: "MATERIALIZED " if n.startswith("svd_") else ""
+    prelude = ",\n".join(f"{n} AS {kept(n)}({CTES[n][1]})" for n in needed)
+    recursive = "RECURSIVE " if "svd_one" in needed else ""
+    return f"WITH {recursive}{prelude}\n{body}" if needed else body

@@ -10,14 +10,16 @@ from marketloom.catalog.relational import HITS, RANKING
 from marketloom.catalog.stages import split, stage
 from marketloom.plans import content, evaluate, svd
 
-_models: dict[tuple[str, str], svd.SvdModel] = {}
+_models: dict[tuple[str, str, str], svd.SvdModel] = {}
+# two components, so that SQL can find the same ones by power iteration
+SHOWN = 2
 
 
-def model(spark, sf):
+def model(spark, sf, method="sent"):
     """The SVD fitted on the training part, once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, method)
     if key not in _models:
-        _models[key] = svd.fit(split(spark, sf)[0])
+        _models[key] = svd.fit(split(spark, sf)[0], SHOWN, method=method)
     return _models[key]
 
 
@@ -39,21 +41,43 @@ def interaction_matrix(spark, sf):
     return svd.interaction_matrix(split(spark, sf)[0])
 
 
-@register("svd_fit")
-def svd_fit(spark, sf):
+SINGULAR = with_(
+    f"SELECT 0::BIGINT AS component, {r6('s1', 'singular_value')}, 1.0e0 AS length FROM svd_first UNION ALL SELECT 1, {r6('s2', 'singular_value')}, 1.0e0 FROM svd_second",
+    "svd_second",
+)
+
+
+def shown(spark, fitted):
     """Singular values and the item factors' squared length along each component (always 1)."""
-    fitted = model(spark, sf)
     values = spark.createDataFrame(list(enumerate(fitted.singular_values)), "component INT, singular_value DOUBLE")
     spread = fitted.item_factors.select(F.posexplode("factors").alias("component", "x"))
     return values.join(spread.groupBy("component").agg(F.sum(F.col("x") * F.col("x")).alias("length")), "component")
 
 
-@register("svd_explained_variance")
+@register("svd_fit", SINGULAR)
+def svd_fit(spark, sf):
+    return shown(spark, model(spark, sf))
+
+
+@register("svd_fit_joined", SINGULAR)
+def svd_fit_joined(spark, sf):
+    """The same with the basis as a table."""
+    return shown(spark, model(spark, sf, "joined"))
+
+
+@register(
+    "svd_explained_variance",
+    with_(
+        f"""SELECT {r6('kept / total', 'explained_variance')} FROM (SELECT var_pop(x) + var_pop(y) AS kept, count(*)::DOUBLE AS n FROM svd_u),
+ (SELECT sum(s2 / m - (s / m) * (s / m)) AS total FROM (SELECT sum(score) AS s, sum(score * score) AS s2 FROM svd_m GROUP BY product_id), (SELECT count(DISTINCT user_id)::DOUBLE AS m FROM svd_m))""",
+        "svd_u",
+    ),
+)
 def svd_explained_variance(spark, sf):
     return svd.explained_variance(model(spark, sf))
 
 
-@register("svd_predict")
+@register("svd_predict", with_(f"SELECT user_id, product_id, implicit_score, {r6('prediction', 'prediction')} FROM svd_predicted", "svd_predicted"))
 def svd_predict(spark, sf):
     return svd.predict(model(spark, sf), split(spark, sf)[1].select("user_id", "product_id", "implicit_score"))
 
@@ -81,12 +105,22 @@ def predict_lookup(spark, sf):
     return svd.predict(factors, pairs.unionByName(unknown))
 
 
-@register("svd_recommend")
+@register("svd_recommend", with_(f"SELECT user_id, product_id, {r6('score', 'score')}, rank FROM svd_recs", "svd_recs"))
 def svd_recommend(spark, sf):
     return svd.recommend(model(spark, sf), 10)
 
 
-@register("svd_evaluate")
+@register(
+    "svd_evaluate",
+    with_(
+        f"""SELECT r.*, e.* FROM ({RANKING} FROM (SELECT t.user_id, count(*) AS actual, count(r.product_id) AS hits
+ FROM (SELECT DISTINCT user_id, product_id FROM test WHERE user_id IN (SELECT user_id FROM svd_u)) t
+ LEFT JOIN svd_recs r ON t.user_id = r.user_id AND t.product_id = r.product_id GROUP BY 1)) r,
+ (SELECT {r6('sqrt(avg((a - prediction) * (a - prediction)))', 'rmse')}, {r6('avg(abs(a - prediction))', 'mae')},
+ {r6('1 - sum((a - prediction) * (a - prediction)) / (var_pop(a) * count(a))', 'r2')} FROM (SELECT *, implicit_score::DOUBLE AS a FROM svd_predicted)) e""",
+        "svd_recs", "svd_predicted",
+    ),
+)
 def svd_evaluate(spark, sf):
     fitted, test = model(spark, sf), split(spark, sf)[1]
     ranking = evaluate.ranking_metrics(svd.recommend(fitted, 10), test, fitted.user_factors.select("user_id"), 10)

@@ -73,7 +73,7 @@ def train_and_log(
                 "explained_variance": svd.explained_variance(fitted).first()[0],
                 **{f"test_{k}": v for k, v in svd.prediction_error(fitted, test).first().asDict().items()},
             }
-            params = {"svd_components": svd.COMPONENTS, "svd_n_iter": svd.ITERATIONS, "svd_eval_k": n}
+            params = {"svd_components": svd.COMPONENTS, "svd_tolerance": svd.TOLERANCE, "svd_eval_k": n}
             sample, score = evaluate.sample_users(train, SVD_SAMPLE_USERS), "score"
         else:
             vectors = materialize(content.item_vectors(products), "vectors")
