@@ -39,13 +39,13 @@ from marketloom.llm.common import table, text_or_empty
 
 SYMBOLS = 64
 OTHER = SYMBOLS - 1
-SAMPLE_ROWS = 30_000
+SAMPLE_ROWS = 20_000
 MAX_FEATURES = 4096
 THRESHOLD = 0.7
-STARTS = (4, 5, 6)
+STARTS = (4, 5)
 # least lower bound of a feature's log odds, and the normal quantile of that bound
 LEAST_LOG_ODDS, BOUND_SD = 2.0, 1.64
-CACHE_WORDS = 200_000
+CACHE_WORDS, FLUSH_FEATURES = 400_000, 200_000
 COUNTS = ("clean0", "toxic0", "clean1", "toxic1")
 
 # what a sign can stand for (fixed values of the channel)
@@ -180,11 +180,14 @@ class Model:
     slope: float
     known: dict[str, tuple] = field(default_factory=dict)
 
+    def __post_init__(self):
+        self.heads = {f.rstrip("~")[:4] for f in self.weights}
+
     def __getstate__(self):
         return self.__dict__ | {"known": {}}
 
     def evidence(self, text: str) -> float:
-        return sum(self.weights[f] for f in features(text, self.restorer, self.known, self.weights))
+        return math.fsum(self.weights[f] for f in features(text, self.restorer, self.known, self.heads, self.weights))
 
     def score(self, text: str | None) -> float:
         if not self.weights:
@@ -192,30 +195,51 @@ class Model:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, self.bias + self.slope * self.evidence(text or "")))))
 
 
-def features(text: str, restorer: Restorer, known: dict, among=None) -> set[str]:
-    """Distinct features of the written and the restored words; only those in ``among`` if it is given."""
-    text = text.lower()
-    words = set(text.split())
-    for m in APART.finditer(text):
-        # a one-letter word before the letters that stand apart is not always part of them
-        read = restorer.word(m.group())
-        words.update((read, read[1:]))
+def features(text: str, restorer: Restorer, known: dict, heads: set[str] | None = None, among=None) -> set[str]:
+    """Distinct features of the written and the restored words; only those in ``among``, whose heads are ``heads``, if given."""
+    words = text.lower().split()
+    singles = [i for i, word in enumerate(words) if len(word) == 1]
+    distinct = set(words)
+    if len(singles) > 2:
+        distinct.update(_apart(words, singles, restorer))
     out: set[str] = set()
-    for word in words:
+    for word in distinct:
         found = known.get(word)
         if found is None:
-            bare = EDGES.sub("", word)
-            found = word_features(bare)
-            if restorer.disguised(bare):
-                found += word_features(restorer.word(bare))
-            found = tuple(f for f in found if f and (among is None or f in among))
             if len(known) > CACHE_WORDS:
                 known.clear()
-            known[word] = found
-        out.update(found)
+            found = known[word] = _features_of(word, restorer, heads, among)
+        if found:
+            out.update(found)
     return out
 
 
+def _apart(words: list[str], singles: list[int], restorer: Restorer) -> Iterator[str]:
+    """Readings of three and more one-letter words in a row; the first may not be part of them."""
+    start = 0
+    for at in range(1, len(singles) + 1):
+        if at == len(singles) or singles[at] != singles[at - 1] + 1:
+            if at - start > 2:
+                read = restorer.word(" ".join(words[singles[start] : singles[at - 1] + 1]))
+                yield from (read, read[1:])
+            start = at
+
+
+def _features_of(word: str, restorer: Restorer, heads: set[str] | None, among) -> tuple[str, ...]:
+    bare = word.strip(".,;:?")
+    if bare.isalpha() and not LONG_RUN.search(bare):
+        # most words: nothing to restore, and their first letters begin no known feature
+        if heads is not None and bare[:4] not in heads:
+            return ()
+        found = word_features(bare)
+    else:
+        bare = EDGES.sub("", word)
+        found = word_features(bare)
+        if restorer.disguised(bare):
+            found += word_features(restorer.word(bare))
+    return tuple(f for f in found if f and (among is None or f in among))
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -248,7 +272,7 @@ def _feature_counts(sample: DataFrame, restorer: Restorer, max_features: int) ->
                 own = counts[2 * half.as_py() + (toxic.as_py() == 1)]
                 own.update(features(text.as_py(), restorer, known))
                 own[""] += 1
-                if len(own) > CACHE_WORDS:
+                if len(own) > FLUSH_FEATURES:
                     yield rows()
         yield rows()
 
