@@ -19,7 +19,8 @@ def model(spark, sf, method="sent"):
     """The SVD fitted on the training part, once per session and folder."""
     key = (spark.sparkContext.applicationId, sf, method)
     if key not in _models:
-        _models[key] = svd.fit(split(spark, sf)[0], SHOWN, method=method)
+        # more columns than needed make the plain steps of the joined way few
+        _models[key] = svd.fit(split(spark, sf)[0], SHOWN, oversample=svd.OVERSAMPLE if method == "sent" else 40, method=method)
     return _models[key]
 
 
