@@ -43,6 +43,17 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return newest.select(*keys, "_row.*").select(*df.columns)
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the one whose hash over all columns is least: the same in any order of the rows.
+
+    The least hash is an aggregate and the row a semi-join with it, so a key with very many
+    rows is neither sorted nor gathered.
+    """
+    marked = df.withColumn("_mark", F.xxhash64(*(F.col(f"`{c}`") for c in sorted(df.columns))))
+    least = marked.groupBy(key).agg(F.min("_mark").alias("_mark"))
+    return marked.join(least, [key, "_mark"], "left_semi").dropDuplicates([key, "_mark"]).select(*df.columns)
+
+
 def keep_last(batches: list[DataFrame], keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Union of the batches with one row per key: the one of the last batch that has it.
 

@@ -9,6 +9,7 @@ from marketloom.functions import scalars as S
 from marketloom.operators import cleaning as C
 from marketloom.operators import joins as J
 from marketloom.operators import scaling as M
+from marketloom.operators import windows as W
 
 
 def curate_interactions(raw: DataFrame) -> DataFrame:
@@ -84,13 +85,17 @@ def curate_catalog(raw: DataFrame, wide_one_hot: bool = True) -> DataFrame:
 def merge_curated(
     interactions: DataFrame, profiles: DataFrame | None, catalog: DataFrame | None
 ) -> DataFrame:
-    """Interactions with profile and catalog columns; missing profiles are tolerated, a missing catalog is not."""
+    """Interactions with profile and catalog columns; missing profiles are tolerated, a missing catalog is not.
+
+    All unreadable ids are 0, so either side may hold many rows of that id: profiles and
+    catalog give one row per id, or the join would pair them all.
+    """
     if catalog is None:
         raise RuntimeError("the catalog is mandatory for curation")
     df = interactions
     if profiles is not None and "user_id" in profiles.columns and "user_id" in df.columns:
-        df = J.left_join(df, profiles, "user_id", "_profile")
-    return J.left_join(df, catalog, "product_id", "_catalog")
+        df = J.left_join(df, W.one_per_key(profiles, "user_id"), "user_id", "_profile")
+    return J.left_join(df, W.one_per_key(catalog, "product_id"), "product_id", "_catalog")
 
 
 def curate(interactions: DataFrame, profiles: DataFrame, catalog: DataFrame, **options) -> DataFrame:

@@ -322,3 +322,24 @@ def test_scratch_folder_follows_the_session():
     assert scratch_root(FakeSession(spark__master="local[2]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(FakeSession(spark__master="yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(FakeSession(spark__master="local-cluster[2,1,1024]"))
+
+
+def test_many_categories_and_unreadable_ids(spark, tmp_path):
+    """No width limits a catalog, and unreadable ids do not multiply rows."""
+    drop, root = tmp_path / "drop", str(tmp_path / "lake")
+    products = [product(i, category=f"c{i}", subcategory=f"s{i}") for i in range(1, 1501)]
+    write_drop(drop, "20240101", [*DAY1, ("x1", 2, "view", NOON + 1, 1), ("x2", 2, "view", NOON + 2, 1)], PEOPLE, products)
+    jobs.data_job(spark, str(drop), str(drop), root)
+    curated = spark.read.parquet(f"{root}/{jobs.CURATED}")
+    assert "category" in curated.columns and not [c for c in curated.columns if c.startswith("cat_")]
+    assert spark.read.parquet(f"{root}/{jobs.CATEGORIES}/event_date=20240101").where("dim LIKE 'category=%'").count() == 1500
+    people = spark.createDataFrame([(i, 30 + i) for i in range(4)] + [(0, 99)] * 3, "user_id BIGINT, age BIGINT")
+    events = spark.createDataFrame([(0, 1, "view", NOON, 1.0)] * 2 + [(2, 1, "view", NOON, 1.0)], INTERACTIONS)
+    goods = spark.createDataFrame([(1, "a"), (1, "b")], "product_id BIGINT, category STRING")
+    merged = curate.merge_curated(events, people, goods)
+    assert merged.count() == 3
+    # the one that stays does not depend on the order of the rows
+    again = curate.merge_curated(events, people.orderBy(F.desc("age")), goods.orderBy(F.desc("category")))
+    assert sorted(map(str, merged.collect())) == sorted(map(str, again.collect()))
