@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+import os
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +16,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 
 
+def share_code(spark: SparkSession) -> SparkSession:
+    """Let Python workers find this package where the driver found it (elsewhere it is installed)."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (known, root) if p)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return use_utc(share_code(spark)).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def text_or_empty(name: str = "text") -> Column:

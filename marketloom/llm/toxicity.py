@@ -6,8 +6,8 @@ finds its likeliest reading under the channel and the model. The classifier sees
 words as written and as restored.
 
 The classifier: word and word-start features whose odds under toxic labels are surely
-higher (lower bound of the log odds) carry their log odds; the sum over a text's
-distinct features goes through a logistic curve. Features come from a
+higher (lower bound of the log odds) carry their log odds; the sum of the heaviest features of a
+text's words, each counted once, goes through a logistic curve. Features come from a
 bounded sample of labelled rows (``sample_rows``, the smallest hashes of the ids). The
 curve is fitted on evidence that either half gets from the features of the other, so that
 chance features do not flatter it. The trigram counts
@@ -196,7 +196,7 @@ class Model:
 
 
 def features(text: str, restorer: Restorer, known: dict, heads: set[str] | None = None, among=None) -> set[str]:
-    """Distinct features of the written and the restored words; only those in ``among``, whose heads are ``heads``, if given."""
+    """Distinct features of the written and the restored words; with weights ``among``, whose heads are ``heads``, the heaviest of every word."""
     words = text.lower().split()
     singles = [i for i, word in enumerate(words) if len(word) == 1]
     distinct = set(words)
@@ -237,7 +237,11 @@ def _features_of(word: str, restorer: Restorer, heads: set[str] | None, among) -
         found = word_features(bare)
         if restorer.disguised(bare):
             found += word_features(restorer.word(bare))
-    return tuple(f for f in found if f and (among is None or f in among))
+    if among is None:
+        return tuple(f for f in found if f)
+    # a word and its start are one piece of evidence
+    best = max((f for f in found if f in among), key=among.get, default=None)
+    return (best,) if best else ()
 
 
 def held_out(id_col: str = "doc_id") -> Column:
