@@ -39,16 +39,20 @@ def _keys(docs: DataFrame) -> dict:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """One row per selected gram: row, id, gram hash, and the runs it stands for as (first line, last line, run hash, run number)."""
+    """One row per run: id and mark of its document, number, selected gram, first and last line, hash of its lines.
+
+    Documents are told apart by id and text, not by a row number, which a second reading
+    might deal out differently.
+    """
     keys = _keys(docs)
-    lines = docs.select(F.monotonically_increasing_id().alias("row"), keys["__id"].alias("id"), F.explode(F.array(_lines(F.col("text")))).alias("lines"))
+    lines = docs.select(keys["__id"].alias("id"), keys["__mark"].alias("mark"), F.explode(F.array(_lines(F.col("text")))).alias("lines"))
     visible = F.filter(
         F.transform("lines", lambda line, i: F.struct(F.when(line.rlike(r"[^\x20\x09-\x0D]"), F.xxhash64(line)).alias("h"), i.alias("at"))),
         lambda line: line["h"].isNotNull(),
     )
-    own = lines.select("row", "id", visible.alias("l")).where(F.size("l") >= RUN)
+    own = lines.select("id", "mark", visible.alias("l")).where(F.size("l") >= RUN)
     grams = F.transform("l", lambda line, i: F.xxhash64(line["h"], F.coalesce(F.get("l", i + 1)["h"], F.lit(0))))
-    own = own.select("row", "id", "l", F.slice(grams, F.lit(1), F.size("l") - 1).alias("g"))
+    own = own.select("id", "mark", "l", F.slice(grams, F.lit(1), F.size("l") - 1).alias("g"))
     # run i has the grams i and i + 1
     runs = F.transform(
         F.sequence(F.lit(0), F.size("g") - 2),
@@ -61,33 +65,29 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             F.xxhash64(F.get("l", i)["h"], F.get("l", i + 1)["h"], F.get("l", i + 2)["h"]).alias("run"),
         ),
     )
-    return own.select("row", "id", F.explode(runs).alias("r")).select("row", "id", "r.*")
+    return own.select("id", "mark", F.explode(runs).alias("r")).select("id", "mark", "r.*")
 
 
 def later_runs(docs: DataFrame) -> DataFrame:
-    """(row, from_line, to_line) of every maximal stretch of runs that occurred earlier."""
+    """(id, mark, from_line, to_line) of every maximal stretch of runs that occurred earlier."""
     found = materialize(fingerprints(docs), "runs")
-    places = found.select("row", "gram_at", "gram").distinct()
+    places = found.select("id", "mark", "gram_at", "gram").distinct()
     again = places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     near = found.join(again, "gram")
     in_document = near.groupBy("run", "gram", "id").agg(F.min("i").alias("i"), F.count("*").alias("n"))
     first = in_document.groupBy("run", "gram").agg(F.min_by("i", "id").alias("first_i"), F.min("id").alias("first_id"), F.sum("n").alias("n"))
     later = near.join(first.where("n > 1"), ["run", "gram"]).where("NOT (id = first_id AND i = first_i)")
-    order = Window.partitionBy("row").orderBy("i")
+    order = Window.partitionBy("id", "mark").orderBy("i")
     apart = (F.col("i") > F.lag("i").over(order) + RUN).cast("int")
     stretch = F.sum(F.coalesce(apart, F.lit(0))).over(order)
-    marked = later.select("row", "i", "from_line", "to_line").withColumn("stretch", stretch)
-    return marked.groupBy("row", "stretch").agg(F.min("from_line").alias("from_line"), F.max("to_line").alias("to_line"))
+    marked = later.select("id", "mark", "i", "from_line", "to_line").withColumn("stretch", stretch)
+    return marked.groupBy("id", "mark", "stretch").agg(F.min("from_line").alias("from_line"), F.max("to_line").alias("to_line"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """All columns with ``__kept`` (the text without later repeats), ``__n_lines``, ``__n_removed`` and ``__n_stretches``."""
     keys = _keys(docs)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), *(c.alias(n) for n, c in keys.items()))
-    # rows of one document find the same runs; the first row speaks for all
-    places = materialize(rows, "places").groupBy(*keys).agg(F.min("row").alias("row"))
-    stretches = later_runs(docs).groupBy("row").agg(F.collect_list(F.struct("from_line", "to_line")).alias("__gone"))
-    gone = places.join(stretches, "row").select(*keys, "__gone")
+    gone = later_runs(docs).groupBy(F.col("id").alias("__id"), F.col("mark").alias("__mark")).agg(F.collect_list(F.struct("from_line", "to_line")).alias("__gone"))
     joined = docs.withColumns(keys).join(gone, list(keys), "left")
     lines = F.transform(_lines(F.col("text")), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
     kept = F.filter(lines, lambda x: (x["line"].rlike(r"[^\x20\x09-\x0D]") == F.lit(False)) | ~F.exists("__gone", lambda r: x["i"].between(r["from_line"], r["to_line"])))
