@@ -52,11 +52,23 @@ def record_text(page_id: Column, url: Column, html: Column, digest: Column) -> C
     return F.concat(*head, html)
 
 
+def parts(pages: DataFrame) -> DataFrame:
+    """(page_id, url, html) without null texts."""
+    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), *(F.coalesce(c, F.lit("")).alias(c) for c in ("url", "html")))
+
+
+def payload() -> Column:
+    """Digest of the html, part of the record id."""
+    return F.substring(F.sha2(F.col("html").cast("binary"), 256), 1, 32)
+
+
+def record() -> Column:
+    return record_text(F.col("page_id"), F.col("url"), F.col("html"), payload())
+
+
 def records(pages: DataFrame) -> DataFrame:
-    """The pages with ``record``, its text; the payload's digest is part of the record id."""
-    url, html = (F.coalesce(c, F.lit("")) for c in ("url", "html"))
-    digest = F.substring(F.sha2(html.cast("binary"), 256), 1, 32)
-    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), digest.alias("payload"), record_text(F.col("page_id"), url, html, digest).alias("record"))
+    """The pages with ``payload`` and ``record``, its text."""
+    return parts(pages).select("page_id", payload().alias("payload"), record().alias("record"))
 
 
 def index(made: DataFrame, shard_records: int = SHARD_RECORDS) -> DataFrame:
@@ -70,10 +82,10 @@ def index(made: DataFrame, shard_records: int = SHARD_RECORDS) -> DataFrame:
     return materialize(placed.drop("position").withColumn("offset", offset), "record-index")
 
 
-def write_replica(placed: DataFrame, path: str) -> None:
-    """WARC files below ``path``, one per shard, from (shard, ordinal, record)."""
+def write_replica(placed: DataFrame, path: str, text: Column) -> None:
+    """WARC files below ``path``, one per shard, from (shard, ordinal); records are put together where they are written."""
     files = placed.repartition(spread(placed.sparkSession), "shard").sortWithinPartitions("shard", "ordinal")
-    files.select("shard", F.col("record").alias("value")).write.partitionBy("shard").option("lineSep", END).option("compression", "gzip").text(path)
+    files.select("shard", text.alias("value")).write.partitionBy("shard").option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def _whole(content: bytes) -> bytes:
@@ -181,15 +193,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     find: the last character of a record is overwritten where crc32(page_id as text)
     leaves 5 modulo DAMAGED, and records are left out where it leaves 3 modulo MISSING.
     """
-    made = records(table(spark, sf_dir, "pages"))
-    own = index(made)
+    pages = table(spark, sf_dir, "pages")
+    own = index(records(pages))
     mark = F.crc32(F.coalesce(F.col("page_id").cast("string"), F.lit("")).cast("binary"))
-    damaged = F.concat(F.substring("record", 1, 0), F.expr("left(record, char_length(record) - 1)"), F.lit("#"))
-    spoiled = made.where(mark % MISSING != 3).withColumn("record", F.when(mark % DAMAGED == 5, damaged).otherwise(F.col("record")))
-    places = own.groupBy("page_id", "payload").agg(F.min("shard").alias("shard"), F.min("ordinal").alias("ordinal"))
-    near = F.coalesce(spoiled["page_id"], F.lit(-(2**63))) == F.coalesce(places["page_id"], F.lit(-(2**63)))
+    whole = record()
+    spoiled = F.when(mark % DAMAGED == 5, F.concat(F.left(whole, F.char_length(whole) - 1), F.lit("#"))).otherwise(whole)
+    # pages find their places by id and payload; what travels is the page alone
+    key = [F.coalesce("page_id", F.lit(-(2**63))).alias("id"), F.xxhash64("payload").alias("mark")]
+    places = own.groupBy(*key).agg(F.min("shard").alias("shard"), F.min("ordinal").alias("ordinal"))
+    sent = parts(pages).where(mark % MISSING != 3).withColumn("payload", payload()).select("page_id", "url", "html", *key)
     path = scratch_path(spark, "warc")
-    write_replica(spoiled.join(places, near & (spoiled["payload"] == places["payload"])).select("shard", "ordinal", "record"), path)
+    write_replica(sent.join(places, ["id", "mark"]).drop("id", "mark"), path, spoiled)
     theirs = materialize(read_replica(spark, path), "replica-index")
     found = materialize(audit(own, theirs), "audit").where("status <> 'added'").select("shard", "ordinal", "status")
     return own.join(found, ["shard", "ordinal"], "left").select(
