@@ -20,7 +20,7 @@ ODD = [(None, None, None, None, None), (None, "u\r\nv", "", "s", 1), (3, "again"
 def replica(spark, made, own, tmp_path, name):
     placed = made.join(own.select("page_id", "payload", "shard", "ordinal").dropDuplicates(["page_id", "payload"]), (made["page_id"].eqNullSafe(own["page_id"])) & (made["payload"] == own["payload"]))
     path = f"file://{tmp_path}/{name}"
-    warc.write_replica(placed.select("shard", "ordinal", "record"), path)
+    warc.write_replica(placed.select("shard", "ordinal", "record"), path, F.col("record"))
     return warc.read_replica(spark, path)
 
 
