@@ -3,7 +3,8 @@
 Patterns give candidates with their places. The hash of each candidate's value is
 counted over the whole corpus by distinct owners and, within them, distinct repositories:
 a value that many owners hold is a copied example, one that a single owner holds and that
-looks random is a live credential. Spans of the base kinds always stay; the ownership
+looks random is a live credential. A private key counts by its body, not by its header,
+which all keys of a type share. Spans of the base kinds always stay; the ownership
 count decides about the further kinds and marks all of them.
 
 DataFrame functions only. The text is read once: patterns give the matches and the
@@ -32,7 +33,11 @@ HEX = r"[0-9a-f]{24,}"
 # further kinds: keys with a public prefix, signed tokens, private keys
 PREFIXED = r"(?:gh[opsu]_[A-Za-z0-9]{20,}|glpat-[A-Za-z0-9_-]{20,}|xox[abps]-[A-Za-z0-9-]{10,}|sk_(?:live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})"
 SIGNED = r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
-PRIVATE = r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----"
+# a private key is its header and all up to its END line; without one, the header lines and the base64 block that follow
+BREAK = r"(?:\s|\\[nrt])*+"
+BLOCK = rf"(?:{BREAK}[A-Z][A-Za-z-]{{2,20}}+:\s?[^\s\\]{{1,80}}+){{0,4}}+(?:{BREAK}[A-Za-z0-9+/=]{{16,}}+)*+(?:{BREAK}[A-Za-z0-9+/]{{1,15}}+={{1,2}})?+"
+END_LINE = r"-----END [A-Z ]{0,32}PRIVATE KEY-----"
+PRIVATE = rf"-----BEGIN [A-Z ]{{0,32}}PRIVATE KEY-----([^-]*+(?:-{{1,4}}+[^-]++)*+{END_LINE}|{BLOCK})"
 # kind: (pattern, group with the value, least length of the value, signs that a text with a match must hold)
 KINDS = {
     "assign": (ASSIGN, 2, 6, ("passw", "secret", "token", "api")),
@@ -40,13 +45,19 @@ KINDS = {
     "hex": (HEX, 0, 24, ()),
     "prefixed": (PREFIXED, 0, 1, ("gh", "glpat-", "xox", "sk_", "aiza")),
     "signed": (SIGNED, 0, 1, ("eyj",)),
-    "private": (PRIVATE, 0, 1, ("private key",)),
+    "private": (PRIVATE, 1, 1, ("private key",)),
 }
 BASE = ("assign", "access", "hex")
 COPIED_OWNERS = 3
 LIVE_DISTINCT = 8
 
 
+def _key(body: Column, whole: Column) -> Column:
+    """What tells private keys apart: their base64 signs, however the lines are broken or quoted; a header alone is its own value."""
+    signs = F.regexp_replace(body, rf"{END_LINE}|\\[nrt]|[^A-Za-z0-9+/=]", "")
+    return F.when(signs != "", signs).otherwise(whole)
+
+
 def _matches(kind: str) -> Column:
     """Array of (value, match length, length of the piece before it) for every match of a kind."""
     pattern, group, _, signs = KINDS[kind]
@@ -56,7 +67,7 @@ def _matches(kind: str) -> Column:
             F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("whole"),
             F.split("text", pattern, -1).alias("piece"),
         ),
-        lambda m: F.struct(m["value"].alias("value"), F.char_length(m["whole"]).alias("length"), F.char_length(m["piece"]).alias("before")),
+        lambda m: F.struct((_key(m["value"], m["whole"]) if kind == "private" else m["value"]).alias("value"), F.char_length(m["whole"]).alias("length"), F.char_length(m["piece"]).alias("before")),
     )
     # the piece after the last match has no match beside it
     found = F.filter(found, lambda m: m["length"].isNotNull())
