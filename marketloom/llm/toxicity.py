@@ -63,6 +63,9 @@ LONG_RUN = re.compile(r"(.)\1\1")
 SIGN_IN_WORD = re.compile(r"[^\W\d_][^\W_]*[\d@$!|+(€£¡.\-_*'`~^/\\]|[\d@$!|+(€£¡]+[^\W\d_]")
 APART = re.compile(r"(?:(?<=\s)|^)(?:[^\W_]|[@$!|])(?:[ .\-_*](?:[^\W_]|[@$!|])){2,}(?=[\s,.;:!?]|$)")
 
+# the end of every match of APART: a cheap sign that there may be one
+APART_SIGN = re.compile(r"[ .\-_*][\w@$!|][ .\-_*][\w@$!|](?=[\s,.;:!?]|$)")
+
 
 def _symbol_table() -> np.ndarray:
     """Code points below 0x250 to symbols: 0 for what is no letter, 1-26 for a-z, further letters folded into the rest."""
@@ -197,11 +200,16 @@ class Model:
 
 def features(text: str, restorer: Restorer, known: dict, heads: set[str] | None = None, among=None) -> set[str]:
     """Distinct features of the written and the restored words; with weights ``among``, whose heads are ``heads``, the heaviest of every word."""
-    words = text.lower().split()
+    text = text.lower()
+    words = text.split()
     singles = [i for i, word in enumerate(words) if len(word) == 1]
     distinct = set(words)
     if len(singles) > 2:
         distinct.update(_apart(words, singles, restorer))
+    if APART_SIGN.search(text):
+        # also before punctuation, and word by word where the gaps between words are wider
+        for m in APART.finditer(text):
+            distinct.update(_readings(m.group(), restorer))
     out: set[str] = set()
     for word in distinct:
         found = known.get(word)
@@ -215,16 +223,23 @@ def features(text: str, restorer: Restorer, known: dict, heads: set[str] | None
 
 
 def _apart(words: list[str], singles: list[int], restorer: Restorer) -> Iterator[str]:
-    """Readings of three and more one-letter words in a row; the first may not be part of them."""
+    """Words of the readings of three and more one-letter words in a row."""
     start = 0
     for at in range(1, len(singles) + 1):
         if at == len(singles) or singles[at] != singles[at - 1] + 1:
             if at - start > 2:
-                read = restorer.word(" ".join(words[singles[start] : singles[at - 1] + 1]))
-                yield from (read, read[1:])
+                yield from _readings(" ".join(words[singles[start] : singles[at - 1] + 1]), restorer)
             start = at
 
 
+def _readings(run: str, restorer: Restorer) -> Iterator[str]:
+    """Words of letters that stand apart; the first letter may not be part of them, nor signs at the end."""
+    for letters in {run, run.rstrip(" .,;:!?|")}:
+        read = restorer.word(letters)
+        for said in (read, read[1:]):
+            yield from said.split()
+
+
 def _features_of(word: str, restorer: Restorer, heads: set[str] | None, among) -> tuple[str, ...]:
     bare = word.strip(".,;:?")
     if bare.isalpha() and not LONG_RUN.search(bare):

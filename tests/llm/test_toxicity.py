@@ -50,6 +50,21 @@ def test_scores(model):
     assert model.score("moron " * 20_000) >= 0.7
 
 
+def test_letters_apart(model):
+    told = ["an i d i o t.", "m o r o n, the", "the s c u m!", "s c u m !", "the m.o r-o n", "i  d  i  o  t", "i\nd\ni\no\nt", "s t u p i d; of"]
+    told += ["t h e  h o u s e  o f  s c u m", "w a t e r  i d i o t  o f", "m o r o n\nw a t e r", "t h e  m o r o n, w a t e r"]
+    assert {t: model.score(f"the house of water {t}") >= 0.7 for t in told} == dict.fromkeys(told, True)
+    clean = ["t h e  h o u s e.", "s t u d y, the", "a b c, of water", "u.s.a. the house", "a a a a a.", "! ! !"]
+    assert {t: model.score(f"the house of water {t}") < 0.3 for t in clean} == dict.fromkeys(clean, True)
+
+
+def test_sign_of_letters_apart():
+    rnd = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(rnd.choice("ab1é!$|_ .-*,\n") for _ in range(rnd.randint(0, 14)))
+        assert toxicity.APART_SIGN.search(text) or not toxicity.APART.search(text)
+
+
 def test_held_out_rows_do_not_teach(spark, docs, labelled):
     rows, labels = labelled
     held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1}
