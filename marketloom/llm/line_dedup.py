@@ -1,12 +1,12 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by counted hashes of runs of lines.
 
 Lines without a visible character are passed over. Of the other lines every run of RUN
 counts. Grams of two lines are hashed, and in each window of two grams the least hash is
 selected, the first one of ties: any run of RUN lines holds a selected gram at the same
-place, wherever it occurs. Only places whose fingerprint occurs again are looked at
-further: there the runs around the gram are extended to both sides and compared by all
-their lines, each run has one first place in the order (id, line), every later one is
-marked, and marked runs that touch are joined. Lines under a mark go.
+place, wherever it occurs. That is a filter: only runs whose selected gram occurs again
+are looked at further. Runs are told apart by a hash of their lines; nothing is extended
+or compared line by line. Each run has one first place in the order (id, line), every
+later one is marked, and marked runs that touch are joined. Lines under a mark go.
 
 DataFrame functions only. Texts move once, at the end; before that only hashes do.
 Counts, first ids and first lines are sums and minima that are formed before a shuffle,
