@@ -5,7 +5,8 @@ counted over the whole corpus by distinct owners and, within them, distinct repo
 a value that many owners hold is a copied example, one that a single owner holds and that
 looks random is a live credential. A private key counts by its body, not by its header,
 which all keys of a type share. Spans of the base kinds always stay; the ownership
-count decides about the further kinds and marks all of them.
+count decides about the further kinds and marks all of them: a value that looks random
+keeps its spans unless it is copied, also with two owners, where it is not called live.
 
 DataFrame functions only. The text is read once: patterns give the matches and the
 lengths of the pieces between them, places are running sums over these, and only such
@@ -117,13 +118,15 @@ def ownership(each: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, owner_col: str = "source", id_col: str = "doc_id", text_col: str = "text", copied_owners: int = COPIED_OWNERS) -> tuple[DataFrame, DataFrame]:
-    """(rows, spans): the stored rows, and every span with its ownership counts, ``copied`` and ``live``."""
+    """(rows, spans): the stored rows, and every span with its ownership counts, ``copied``, ``live`` and ``shared`` (several owners, too few for a copied example)."""
     found = candidates(docs, owner_col, id_col, text_col)
     each = materialize(spans(found), "spans")
     judged = each.join(ownership(each), "mark")
     copied = F.col("n_owners") >= copied_owners
-    live = (F.col("n_owners") == 1) & ((F.col("signs") >= LIVE_DISTINCT) | (F.col("kind") == "private"))
-    return found, judged.withColumns({"copied": copied, "live": live})
+    random = (F.col("signs") >= LIVE_DISTINCT) | (F.col("kind") == "private")
+    live = (F.col("n_owners") == 1) & random
+    shared = (F.col("n_owners") > 1) & ~copied & random
+    return found, judged.withColumns({"copied": copied, "live": live, "shared": shared})
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +136,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = F.struct("start", "place", F.concat_ws(":", "kind", F.col("start").cast("string"), F.col("end").cast("string")).alias("span"))
     joined = lambda spans: F.concat_ws(",", F.transform(F.array_sort(spans), lambda s: s["span"]))
     per_row = (
-        judged.where(base | F.col("live"))
+        judged.where(base | F.col("live") | F.col("shared"))
         .groupBy("row")
         .agg(
             *(F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in BASE),

@@ -84,6 +84,17 @@ def test_private_keys_count_by_their_bodies(docs, monkeypatch):
     assert out[30].n_live == 2
 
 
+def test_two_owners_keep_their_spans(docs, monkeypatch):
+    token = f"ghp_two{LIVE}"
+    rows = [(i, f"see {token} there", f"s{i}") for i in range(2)] + [(10 + i, f"ghp_three{LIVE}", f"s{i}") for i in range(3)]
+    rows += [(20 + i, f"ghp_{'z' * 30}", f"s{i}") for i in range(2)]
+    out = rows_of(run(monkeypatch, docs(*rows)))
+    assert all((out[i].spans, out[i].n_live, out[i].n_copied) == (f"prefixed:4:{4 + len(token)}", 0, 0) for i in range(2))
+    assert all(out[i].spans == "" for i in (10, 11, 12, 20, 21))
+    told = {(r.id, r.live, r.shared, r.copied) for r in secrets.scan(docs(*rows))[1].collect()}
+    assert told == {*((i, False, True, False) for i in range(2)), *((10 + i, False, False, True) for i in range(3)), *((20 + i, False, False, False) for i in range(2))}
+
+
 def test_no_python_on_the_main_path(docs, monkeypatch):
     plan = run(monkeypatch, docs((1, "token=abcdefgh")))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
