@@ -16,6 +16,9 @@ OPERATORS = {
     "op8_secrets": "secrets",
     "op9_exact_dedup": "exact_dedup",
     "op10_warc": "warc",
+    "op11_vector_packing": "packing",
+    "op12_periodic_runs": "periodic",
+    "op13_merkle_manifest": "manifest",
 }
 
 

@@ -17,7 +17,7 @@ QUERIES, ORACLES = registry.load()
 
 def test_registration():
     assert set(QUERIES) == {"pipeline", *registry.OPERATORS}
-    assert {n.split("_")[0] for n in registry.OPERATORS} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.OPERATORS} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "mixing", "byte_bpe"]
 
