@@ -23,14 +23,12 @@ from marketloom.catalog.relational import KEEP_LAST
 from marketloom.catalog.stages import TRAINED_AT, history, new_batch, stage
 from marketloom.operators import aggregates as A
 from marketloom.operators import joins as J
-from marketloom.plans import curate, eda, features, jobs, training
+from marketloom.plans import curate, eda, feature_state, features, jobs, training
 from marketloom.schemas import (
     INTERACTION_FEATURES,
     INTERACTION_VIEW,
     INTERACTIONS,
-    PRODUCT_FEATURES,
     PRODUCT_VIEW,
-    USER_FEATURES,
     USER_VIEW,
 )
 from marketloom.session import scratch_path
@@ -127,15 +125,11 @@ def interaction_features_update(spark, sf):
     return features.update_interactions(stage(spark, sf, "interaction_features_old"), new_batch(stage(spark, sf, "curated")))
 
 
-TABLES = {"user_features": USER_FEATURES, "product_features": PRODUCT_FEATURES, "interaction_features": INTERACTION_FEATURES}
-
-
 def table_sizes(spark, store, *extra):
     """(table, rows, interactions) of the current snapshot."""
     parts = None
-    for name, schema in TABLES.items():
-        df = snapshots.load_snapshot(spark, store, name, schema)
-        row = df.agg(A.rows().alias("n"), F.sum("interaction_count").alias("interactions")).select(
+    for name in feature_state.SCHEMAS:
+        row = feature_state.load(spark, store, name).agg(A.rows().alias("n"), F.sum("interaction_count").alias("interactions")).select(
             F.lit(name).alias("name"), "n", "interactions", *extra
         )
         parts = row if parts is None else parts.unionByName(row)
@@ -339,5 +333,5 @@ def stream_upsert(spark, sf):
     for batch in (stage(spark, sf, "interaction_features_old"), features.interaction_features(new_batch(cur))):
         batch.write.mode("append").parquet(source)
         rows = spark.readStream.schema(INTERACTION_FEATURES).parquet(source)
-        streams.upsert_stream(spark, rows, store, "rows", keys, ["created_at"], checkpoint, once=True).awaitTermination()
+        streams.upsert_stream(spark, rows, store, "rows", keys, ["created_at"], checkpoint, once=True, part="interaction_date").awaitTermination()
     return snapshots.load_snapshot(spark, store, "rows", INTERACTION_FEATURES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,17 +32,31 @@ def top_n_per_key(df: DataFrame, key: str, score: str, item: str, n: int) -> Dat
     return df.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
+def _having(df: DataFrame, keys: list[str], column: str, newest: bool) -> DataFrame:
+    """Rows with the largest (or smallest) value of ``column`` in their key; where all are null, all rows.
+
+    The value is a hash aggregate over a few columns, and the rows are found by a semi-join
+    on the key with a range test, so whole rows are neither sorted nor buffered.
+    """
+    best = df.groupBy(*(F.col(k).alias(f"_of_{k}") for k in keys)).agg((F.max if newest else F.min)(column).alias("_best"))
+    same = reduce(lambda x, y: x & y, (df[k].eqNullSafe(best[f"_of_{k}"]) for k in keys))
+    good = df[column] >= best["_best"] if newest else df[column] <= best["_best"]
+    return df.join(best, same & F.coalesce(good, best["_best"].isNull()), "left_semi")
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest row per key.
+    """Newest row per key, nulls in ``order`` coming first; of rows equal in ``order`` the one whose hash is least.
 
-    An aggregate instead of a window: each task sends at most one row per key, so
-    a key with a large share of the rows costs nothing extra.
+    The rows that are newest by the first order column are written once; the other columns
+    only decide between those of a key that are equal in it.
     """
-    rest = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    )
-    return newest.select(*keys, "_row.*").select(*df.columns)
+    marked = df.withColumn("_mark", F.xxhash64(*(F.col(f"`{c}`") for c in sorted(df.columns))))
+    if order:
+        marked = materialize(_having(marked, keys, order[0], True), "newest")
+    for column in order[1:]:
+        marked = _having(marked, keys, column, True)
+    # what is left over per key is one row, or several equal ones
+    return _having(marked, keys, "_mark", False).drop("_mark").distinct()
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -54,16 +70,20 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     return marked.join(least, [key, "_mark"], "left_semi").dropDuplicates([key, "_mark"]).select(*df.columns)
 
 
-def keep_last(batches: list[DataFrame], keys: list[str], order: list[str] | None = None) -> DataFrame:
+def replace_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """``new`` and the rows of ``old`` whose key it lacks: an anti-join on the keys alone, no sort of whole rows."""
+    own = new.select(*(F.col(k).alias(f"_new_{k}") for k in keys))
+    found = reduce(lambda x, y: x & y, (old[k].eqNullSafe(own[f"_new_{k}"]) for k in keys))
+    return old.join(own, found, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def keep_last(batches: list[DataFrame], keys: list[str], order: list[str] | None = None, unique: bool = False) -> DataFrame:
     """Union of the batches with one row per key: the one of the last batch that has it.
 
-    ``order`` breaks ties inside a batch.
+    ``order`` breaks ties inside a batch; ``unique`` says that a batch has no key twice.
     """
-    stacked = None
-    for seq, batch in enumerate(batches):
-        tagged = batch.withColumn("_seq", F.lit(seq))
-        stacked = tagged if stacked is None else stacked.unionByName(tagged, allowMissingColumns=True)
-    return latest_per_key(stacked, keys, ["_seq", *(order or [])]).drop("_seq")
+    own = [b if unique else latest_per_key(b, keys, order or []) for b in batches]
+    return reduce(lambda old, new: replace_rows(old, new, keys), own)
 
 
 def sorted_positions(df: DataFrame, *order: str) -> DataFrame:

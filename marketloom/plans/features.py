@@ -213,6 +213,7 @@ def product_features(df: DataFrame, as_of=FEATURE_EPOCH) -> DataFrame:
     return finish_products(C.with_audit(product_aggregates(df), stamp(as_of)), _product_counts(df))
 
 
+# fixed values: how a column of two batches is merged
 PRODUCT_RULES = {
     "interaction_count": "sum",
     "unique_users": "sum",
@@ -282,7 +283,7 @@ def interaction_features(df: DataFrame, as_of=FEATURE_EPOCH) -> DataFrame:
 def update_interactions(previous: DataFrame, batch: DataFrame, as_of=FEATURE_EPOCH) -> DataFrame:
     """Append a batch; a later row of the same (user, product, date) replaces the earlier one."""
     fresh = interaction_features(batch, as_of)
-    return W.keep_last([previous, fresh], ["user_id", "product_id", "interaction_date"])
+    return W.keep_last([previous, fresh], ["user_id", "product_id", "interaction_date"], unique=True)
 
 
 # --- snapshots for feature views -----------------------------------------

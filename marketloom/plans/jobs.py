@@ -10,16 +10,9 @@ from pyspark.sql import functions as F
 
 from marketloom.operators import quality, scaling
 from marketloom.plans import curate as curation
+from marketloom.plans import feature_state
 from marketloom.plans import features as feat
-from marketloom.schemas import (
-    CATALOG,
-    INTERACTION_FEATURES,
-    INTERACTIONS,
-    PRODUCT_FEATURES,
-    PROFILES,
-    USER_FEATURES,
-)
-from marketloom.session import materialize
+from marketloom.schemas import CATALOG, INTERACTIONS, PROFILES
 from marketloom.sources import files, listing, snapshots
 
 # fixed values: layout below the data root
@@ -120,54 +113,26 @@ def feature_job(
 
     A full build holds its own date alone. An update adds a date that the current
     version does not hold, older or newer; a date that it holds with the same rows
-    changes nothing (False); a date that it holds with other rows replaces its old
-    contribution: all dates are built again, in order.
+    changes nothing (False; files that are still the same are not even read); a date that
+    it holds with other rows replaces its old contribution, no other date being read.
     """
     as_of = as_of or now()
     curated_root, store = f"{root}/{CURATED}", f"{root}/{FEATURES}"
     day = (date if incremental else None) or listing.latest_partition(spark, curated_root, "event_date")
     read = lambda d: files.read_partition(spark, curated_root, d, "event_date")
-    batch, mark = f"date:{day}", content_mark(read(day))
-    held = snapshots.held_batches(spark, store) if incremental else {}
-    if held.get(batch) == mark:
+    base = snapshots.current(spark, store) if incremental else snapshots.Version()
+    batch = f"date:{day}"
+    files_now = listing.fingerprint(spark, f"{curated_root}/event_date={day}")
+    rows, _, files_then = base.batches.get(batch, "").rpartition("@")
+    if files_then == files_now:
         return False
-    if batch not in held:
-        tables = build_features(spark, store, read(day), incremental, as_of)
-    else:
-        if any(not b.startswith("date:") for b in held):
-            raise ValueError(f"{store} also holds streamed rows, so date {day} cannot be replaced")
-        days = sorted(b.removeprefix("date:") for b in held)
-        tables = _from_scratch(read(days[0]), as_of)
-        for d in days[1:]:
-            tables = _updated({n: materialize(t, n) for n, t in tables.items()}, read(d), as_of)
-    snapshots.save_snapshots(spark, store, tables, held | {batch: mark})
+    mark = content_mark(read(day))
+    if rows == mark:
+        return False
+    feature_state.put(spark, store, base, batch, f"{mark}@{files_now}", read(day), as_of, day)
     return True
 
 
-def build_features(spark: SparkSession, store: str, df: DataFrame, incremental: bool, as_of) -> dict[str, DataFrame]:
-    """The three feature tables, from scratch or on top of the current snapshot."""
-    if not incremental or snapshots.current_version(spark, store) is None:
-        return _from_scratch(df, as_of)
-    schemas = {"user_features": USER_FEATURES, "product_features": PRODUCT_FEATURES, "interaction_features": INTERACTION_FEATURES}
-    return _updated({n: snapshots.load_snapshot(spark, store, n, s) for n, s in schemas.items()}, df, as_of)
-
-
-def _from_scratch(df: DataFrame, as_of) -> dict[str, DataFrame]:
-    return {
-        "user_features": feat.user_features(df, as_of),
-        "product_features": feat.product_features(df, as_of),
-        "interaction_features": feat.interaction_features(df, as_of),
-    }
-
-
-def _updated(old: dict[str, DataFrame], df: DataFrame, as_of) -> dict[str, DataFrame]:
-    return {
-        "user_features": feat.update_users(old["user_features"], df, as_of),
-        "product_features": feat.update_products(old["product_features"], df, as_of),
-        "interaction_features": feat.update_interactions(old["interaction_features"], df, as_of),
-    }
-
-
 def data_job(
     spark: SparkSession, drop: str, catalog: str, root: str, date: str | None = None, coerce_first: bool = True, as_of: str | None = None
 ) -> str:

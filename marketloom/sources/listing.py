@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from datetime import datetime
 
@@ -27,6 +28,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files directly below ``path``, as one short text."""
+    fs, target = _fs(spark, path)
+    found = sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(target)) if fs.exists(target) else []
+    return hashlib.sha256(repr(found).encode()).hexdigest()[:32]
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file; fails if it exists."""
     fs, target = _fs(spark, path)

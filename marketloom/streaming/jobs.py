@@ -5,15 +5,18 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from marketloom.operators.windows import keep_last
-from marketloom.plans.jobs import build_features
+from marketloom.operators.windows import latest_per_key, replace_rows
+from marketloom.plans import feature_state
 from marketloom.schemas import FEATURE_EPOCH
+from marketloom.session import materialize
 from marketloom.sources import files, snapshots
 
 POLL = "60 seconds"  # fixed value
+PARTS = 64  # of an upserted table without a column to store it by
 
 
 def _trigger(writer, once: bool, interval: str):
@@ -78,12 +81,12 @@ def feature_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        held, name = snapshots.held_batches(session, store), f"query:{query_id(session)}"
-        if int(held.get(name, -1)) >= batch_id or batch.isEmpty():
+        base, name = snapshots.current(session, store), f"query:{query_id(session)}"
+        if int(base.batches.get(name, -1)) >= batch_id or batch.isEmpty():
             return
         batch.persist()
         try:
-            snapshots.save_snapshots(session, store, build_features(session, store, batch, True, as_of), held | {name: str(batch_id)})
+            feature_state.put(session, store, base, name, str(batch_id), batch, as_of, None)
         finally:
             batch.unpersist()
 
@@ -101,17 +104,29 @@ def upsert_stream(
     checkpoint: str,
     once: bool = False,
     interval: str = POLL,
+    part: str | None = None,
 ) -> StreamingQuery:
-    """Keep one row per key: a row of a later batch replaces the stored one."""
+    """Keep one row per key: a row of a later batch replaces the stored one.
+
+    The table is stored in parts by ``part``, a column of the key (a date, say), or else by
+    a hash of the key; a batch reads and writes only the parts that it has rows for.
+    """
     schema = rows.schema
+    own = F.col(part).cast("string") if part else F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("string")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        held, label = snapshots.held_batches(session, store), f"query:{query_id(session)}"
-        if int(held.get(label, -1)) >= batch_id:
+        base, label = snapshots.current(session, store), f"query:{query_id(session)}"
+        if int(base.batches.get(label, -1)) >= batch_id:
             return
-        stored = snapshots.load_snapshot(session, store, name, schema)
-        snapshots.save_snapshots(session, store, {name: keep_last([stored, batch], keys, order)}, held | {label: str(batch_id)})
+        folder, stored = snapshots.next_folder(session, store), base.parts.get(name, {})
+        fresh = materialize(latest_per_key(batch, keys, order).withColumn("_part", F.coalesce(own, F.lit("none"))), "upserts")
+        # one name per part that the batch touches
+        touched = [r[0] for r in fresh.select("_part").distinct().collect()]
+        before = snapshots.read_parts(session, store, [stored[p] for p in touched if p in stored], schema)
+        before = before.withColumn("_part", F.coalesce(own, F.lit("none")))
+        written = snapshots.write_by(replace_rows(before, fresh, keys), store, folder, name, "_part") if touched else {}
+        snapshots.commit(session, store, folder, base.parts | {name: stored | written}, base.batches | {label: str(batch_id)})
 
     writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, once, interval).start()

@@ -10,8 +10,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marketloom.operators import quality as Q
-from marketloom.plans import curate, features, jobs, runs, training
-from marketloom.schemas import CATALOG, INTERACTIONS, PROFILES, USER_FEATURES
+from marketloom.plans import curate, feature_state, features, jobs, runs, training
+from marketloom.schemas import CATALOG, INTERACTIONS, PROFILES
 from marketloom.session import scratch_root
 from marketloom.sources import files, listing, snapshots
 from marketloom.streaming import jobs as streams
@@ -47,7 +47,7 @@ def test_data_job_end_to_end(spark, tmp_path):
     write_drop(drop, "20240101", DAY1, PEOPLE, [product(1), product(2)])
     assert jobs.data_job(spark, str(drop), str(drop), root) == "20240101"
     store = f"{root}/{jobs.FEATURES}"
-    users = snapshots.load_snapshot(spark, store, "user_features", USER_FEATURES)
+    users = feature_state.load(spark, store, "user_features")
     row = {r["user_id"]: r for r in users.collect()}
     assert row[1]["interaction_count"] == 2 and row[1]["purchase_ratio"] == 0.5 and row[1]["tier"] == "basic"
     # the same date again does not add its counts twice
@@ -55,7 +55,7 @@ def test_data_job_end_to_end(spark, tmp_path):
     assert snapshots.current_version(spark, store) == 1
     write_drop(drop, "20240102", DAY2, PEOPLE, [product(1), product(2), product(4)], envelope=False)
     assert jobs.data_job(spark, str(drop), str(drop), root) == "20240102"
-    row = {r["user_id"]: r for r in snapshots.load_snapshot(spark, store, "user_features", USER_FEATURES).collect()}
+    row = {r["user_id"]: r for r in feature_state.load(spark, store, "user_features").collect()}
     assert row[1]["interaction_count"] == 3 and row[2]["interaction_count"] == 1
     # user 3 has no profile
     assert row[3]["tier"] == "Unknown" and row[3]["age"] == -1
@@ -199,7 +199,7 @@ def test_run_selection(spark, tmp_path):
 
 
 def users_of(spark, store):
-    rows = snapshots.load_snapshot(spark, store, "user_features", USER_FEATURES).collect()
+    rows = feature_state.load(spark, store, "user_features").collect()
     return {r["user_id"]: r["interaction_count"] for r in rows}
 
 
@@ -343,3 +343,115 @@ def test_many_categories_and_unreadable_ids(spark, tmp_path):
     # the one that stays does not depend on the order of the rows
     again = curate.merge_curated(events, people.orderBy(F.desc("age")), goods.orderBy(F.desc("category")))
     assert sorted(map(str, merged.collect())) == sorted(map(str, again.collect()))
+
+
+def folder_bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_replacing_a_date_touches_that_date_alone(spark, tmp_path):
+    """Thirty dates over two months; one of the older month is corrected after the raw rows of all others are gone."""
+    root, store = str(tmp_path), f"{tmp_path}/{jobs.FEATURES}"
+    days = [f"202401{d:02d}" for d in range(20, 32)] + [f"202402{d:02d}" for d in range(1, 19)]
+
+    def rows(n, more=0):
+        at = NOON + 86_400 * (19 + n)
+        return [(u, (u * n) % 7, EVENTS[(u + n) % 4], at + 60 * u) for u in range(1, 6 + n % 3 + more)]
+
+    for n, day in enumerate(days):
+        curated_day(spark, root, day, rows(n))
+        assert jobs.feature_job(spark, root, incremental=n > 0, date=day)
+    before = snapshots.current(spark, store)
+    parts = before.parts["user_features"]
+    # the month that is over is one part more, which a merge reads instead of its dates
+    assert sorted(feature_state.live_parts(parts)) == [*days[12:], "m202401"]
+    assert len(before.parts["interaction_features"]) == 30
+    for day in days[:5] + days[6:]:
+        for file in (tmp_path / jobs.CURATED / f"event_date={day}").iterdir():
+            file.unlink()
+    curated_day(spark, root, days[5], rows(5, 4))
+    assert jobs.feature_job(spark, root, incremental=True, date=days[5])
+    after = snapshots.current(spark, store)
+    changed = {n: {p for p in own if before.parts[n].get(p) != own[p]} for n, own in after.parts.items()}
+    assert changed["user_features"] == changed["product_features"] == {days[5], "m202401"}
+    assert changed["interaction_features"] == {days[5]} and changed["interaction_days"] == {f"{days[5]}|{days[5]}"}
+    # all rows at once give the same tables
+    every = [r for n in range(30) for r in rows(n, 4 if n == 5 else 0)]
+    df = spark.createDataFrame(every, EVENT_ROWS)
+    for name, build in (("user_features", features.user_features), ("product_features", features.product_features), ("interaction_features", features.interaction_features)):
+        # these add up or carry over per batch by definition
+        skip = {"created_at", "updated_at", "unique_users", "diversity_score", "time_since_last_seconds"}
+        columns = [c for c in build(df).columns if c not in skip]
+        got = feature_state.load(spark, store, name).select(columns).collect()
+        assert sorted(map(str, got)) == sorted(map(str, build(df).select(columns).collect()))
+
+
+def test_an_update_writes_in_proportion_to_its_batch(spark, tmp_path):
+    root, store = str(tmp_path), f"{tmp_path}/{jobs.FEATURES}"
+    many = [(u, u % 50, EVENTS[u % 4], NOON + u) for u in range(20_000)]
+    curated_day(spark, root, "20240101", many)
+    jobs.feature_job(spark, root)
+    curated_day(spark, root, "20240102", [(1, 1, "view", NOON + 86_400), (2, 2, "view", NOON + 86_401)])
+    jobs.feature_job(spark, root, incremental=True)
+    first, second = (folder_bytes(tmp_path / jobs.FEATURES / f"v={n:06d}") for n in (1, 2))
+    assert second < first / 10
+    assert feature_state.load(spark, store, "interaction_features").count() == 20_002
+    assert users_of(spark, store)[1] == 2
+
+
+def test_a_date_in_two_batches_and_its_return(spark, tmp_path):
+    """The last batch with a (user, product, date) wins; without it the row of the batch before is there again."""
+    root, store = str(tmp_path), f"{tmp_path}/{jobs.FEATURES}"
+    late = [(1, 1, "view", NOON), (1, 1, "view", NOON + 1), (1, 1, "view", NOON + 2)]
+    for day, part in (("20240101", [(1, 1, "view", NOON), (2, 1, "view", NOON)]), ("20240102", [*late, (3, 3, "view", NOON + 86_400)])):
+        curated_day(spark, root, day, part)
+        jobs.feature_job(spark, root, incremental=day != "20240101", date=day)
+
+    def counts():
+        return {(r["user_id"], r["product_id"]): r["interaction_count"] for r in feature_state.load(spark, store, "interaction_features").collect()}
+
+    assert counts() == {(1, 1): 3, (2, 1): 1, (3, 3): 1}
+    curated_day(spark, root, "20240102", [(3, 3, "view", NOON + 86_400)])
+    jobs.feature_job(spark, root, incremental=True, date="20240102")
+    assert counts() == {(1, 1): 1, (2, 1): 1, (3, 3): 1}
+    # an older version is still whole for its readers
+    assert feature_state.load(spark, store, "interaction_features", snapshots.read_version(spark, store, 2)).count() == 3
+
+
+def test_streamed_batches_are_compacted(spark, tmp_path):
+    store = str(tmp_path / "store")
+    for n in range(feature_state.FAN + 2):
+        df = spark.createDataFrame([(1, 1, "view", NOON + n), (n + 10, 2, "purchase", NOON + n)], EVENT_ROWS)
+        feature_state.put(spark, store, snapshots.current(spark, store), "query:q", str(n), df, "2025-01-01", None)
+    version = snapshots.current(spark, store)
+    assert sorted(p.split("-")[0] for p in version.parts["user_features"]) == ["s0", "s0", "s1"]
+    assert users_of(spark, store) == {1: 10, **{n + 10: 1 for n in range(10)}}
+    got = {(r["user_id"], r["interaction_count"]) for r in feature_state.load(spark, store, "interaction_features").collect()}
+    assert got == {(1, 1), *((n + 10, 1) for n in range(10))}
+
+
+def test_upsert_writes_only_parts_of_the_batch(spark, tmp_path):
+    store, schema = str(tmp_path / "store"), "k BIGINT, d DATE, v BIGINT"
+    source = str(tmp_path / "in")
+
+    def run(values):
+        spark.createDataFrame(values, "k BIGINT, d STRING, v BIGINT").selectExpr("k", "date(d) AS d", "v").write.mode("append").parquet(source)
+        rows = spark.readStream.schema(schema).parquet(source)
+        streams.upsert_stream(spark, rows, store, "t", ["k", "d"], ["v"], str(tmp_path / "c"), once=True, part="d").awaitTermination()
+
+    run([(i, f"2024-01-{1 + i % 9:02d}", i) for i in range(90)] + [(None, None, 1)])
+    before = snapshots.current(spark, store).parts["t"]
+    run([(0, "2024-01-01", 7), (0, "2024-01-01", 5), (500, "2024-02-01", 1), (None, None, 2)])
+    after = snapshots.current(spark, store).parts["t"]
+    assert {p for p in after if after[p] != before.get(p)} == {"2024-01-01", "2024-02-01", "none"}
+    got = [tuple(r) for r in snapshots.load_snapshot(spark, store, "t", spark.read.parquet(source).schema).selectExpr("k", "string(d)", "v").collect()]
+    assert len(got) == 92 and {(0, "2024-01-01", 7), (500, "2024-02-01", 1), (None, None, 2)} <= set(got)
+
+
+def test_published_features_carry_their_event_time(spark, tmp_path):
+    store, target = str(tmp_path / "store"), str(tmp_path / "views")
+    df = spark.createDataFrame([(1, 1, "view", NOON)], EVENT_ROWS)
+    feature_state.put(spark, store, snapshots.current(spark, store), "date:20240101", "", df, "2025-01-01", "20240101")
+    feature_state.publish(spark, store, target, "2025-03-01 00:00:00")
+    row = spark.read.parquet(f"{target}/v=000001/user_features").first()
+    assert (row["user_id"], str(row["event_timestamp"])) == ("1", "2025-03-01 00:00:00")
