@@ -10,17 +10,19 @@ from marketloom.catalog.relational import HITS, RANKING
 from marketloom.catalog.stages import split, stage
 from marketloom.plans import content, evaluate, svd
 
-_models: dict[tuple[str, str, str], svd.SvdModel] = {}
+_models: dict[tuple[str, str, str, int], svd.SvdModel] = {}
 # two components, so that SQL can find the same ones by power iteration
 SHOWN = 2
 
 
-def model(spark, sf, method="sent"):
-    """The SVD fitted on the training part, once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf, method)
+def model(spark, sf, method="tiled", components=SHOWN):
+    """The SVD fitted on the training part, once per session and folder; that of few components to what SQL can compare."""
+    key = (spark.sparkContext.applicationId, sf, method, components)
     if key not in _models:
+        exact = {"steps": 40, "tolerance": 1e-11, "oversample": 30} if components == SHOWN else {}
         # more columns than needed make the plain steps of the joined way few
-        _models[key] = svd.fit(split(spark, sf)[0], SHOWN, oversample=svd.OVERSAMPLE if method == "sent" else 40, method=method)
+        options = {"oversample": 40} if method == "joined" else exact
+        _models[key] = svd.fit(split(spark, sf)[0], components, method=method, **options)
     return _models[key]
 
 
@@ -66,6 +68,13 @@ def svd_fit_joined(spark, sf):
     return shown(spark, model(spark, sf, "joined"))
 
 
+@register("svd_rank50")
+def svd_rank50(spark, sf):
+    """The model as it is trained: 50 components in a bounded number of steps, with the residual that they leave."""
+    fitted = model(spark, sf, components=svd.COMPONENTS)
+    return shown(spark, fitted).withColumn("converged", F.lit(int(fitted.residual < 0.05)))
+
+
 @register(
     "svd_explained_variance",
     with_(

@@ -56,6 +56,7 @@ def train_and_log(
     ledger: str,
     models: tuple[str, ...] = ("svd", "content"),
     n: int = TOP_N,
+    method: str = "tiled",
 ) -> DataFrame:
     """Split, fit, evaluate, write sample recommendations and append the runs to the ledger."""
     spark = training.sparkSession
@@ -66,14 +67,15 @@ def train_and_log(
     for model in models:
         start = datetime.now(timezone.utc)
         if model == "svd":
-            fitted = svd.fit(train)
+            fitted = svd.fit(train, method=method)
             recs = materialize(svd.recommend(fitted, n), "recs")
             known = fitted.user_factors.select("user_id")
             logged = {
+                "residual": fitted.residual,
                 "explained_variance": svd.explained_variance(fitted).first()[0],
                 **{f"test_{k}": v for k, v in svd.prediction_error(fitted, test).first().asDict().items()},
             }
-            params = {"svd_components": svd.COMPONENTS, "svd_tolerance": svd.TOLERANCE, "svd_eval_k": n}
+            params = {"svd_components": svd.COMPONENTS, "svd_steps": svd.STEPS, "svd_eval_k": n}
             sample, score = evaluate.sample_users(train, SVD_SAMPLE_USERS), "score"
         else:
             vectors = materialize(content.item_vectors(products), "vectors")

@@ -22,7 +22,7 @@ def factors(df, key):
     return local[key].to_numpy(), np.vstack(local["factors"].to_numpy())
 
 
-@pytest.mark.parametrize("method", ["sent", "joined"])
+@pytest.mark.parametrize("method", ["tiled", "joined"])
 def test_svd_of_low_rank_matrix_is_exact(spark, rows, method):
     rng = np.random.default_rng(3)
     dense = rng.integers(0, 4, (30, 4)) @ rng.integers(0, 3, (4, 12)).astype(float)
@@ -35,7 +35,7 @@ def test_svd_of_low_rank_matrix_is_exact(spark, rows, method):
     assert abs(svd.explained_variance(model).first()[0] - 1.0) < 1e-8
 
 
-@pytest.mark.parametrize("method", ["sent", "joined"])
+@pytest.mark.parametrize("method", ["tiled", "joined"])
 def test_truncated_svd_matches_numpy(spark, rows, method):
     rng = np.random.default_rng(5)
     # a decaying spectrum, so that the leading subspace is well defined
@@ -54,24 +54,56 @@ def test_truncated_svd_matches_numpy(spark, rows, method):
     assert abs(svd.explained_variance(model).first()[0] - kept) < 1e-8
 
 
-def test_flat_spectrum_converges(spark, rows):
-    """50 components of random counts: neighbouring singular values are close."""
-    dense = np.random.default_rng(9).poisson(0.4, size=(400, 150)).astype(float)
-    model = svd.fit(long_matrix(rows, dense))
+def test_rank_50_of_a_flat_spectrum(spark, rows, monkeypatch):
+    """Random counts over several blocks of users and items: neighbouring singular values are close."""
+    monkeypatch.setattr(svd, "ITEM_BLOCK", 100)
+    monkeypatch.setattr(svd, "USER_BLOCKS", (150, 150))
+    monkeypatch.setattr(svd, "TASK_ENTRIES", 4000)
+    dense = np.random.default_rng(9).poisson(0.2, size=(900, 600)).astype(float)
+    dense[:, 0] += 3.0  # a product that everybody has
+    train = long_matrix(rows, dense)
+    exact = np.linalg.svd(dense, compute_uv=False)
+    model = svd.fit(train)
+    # the default steps: each value within one percent, and so the part of the matrix that is kept
+    assert np.allclose(model.singular_values, exact[:50], rtol=0.01) and 0 < model.residual < 0.05
+    assert sum(x * x for x in model.singular_values) > 0.995 * (exact[:50] ** 2).sum()
+    users, u = factors(model.user_factors, "user_id")
+    items, v = factors(model.item_factors, "product_id")
+    assert np.allclose(v.T @ v, np.eye(50), atol=1e-10) and np.allclose(u, dense[np.ix_(users, items)] @ v, atol=1e-8)
+    better = svd.fit(train, steps=12, tolerance=1e-9)
+    assert np.allclose(better.singular_values, exact[:50], rtol=1e-9) and better.residual <= 1e-9
+
+
+def test_rank_50_of_a_decaying_spectrum(spark, rows):
+    rng = np.random.default_rng(4)
+    left, _ = np.linalg.qr(rng.normal(size=(300, 120)))
+    right, _ = np.linalg.qr(rng.normal(size=(120, 120)))
+    dense = left @ np.diag(0.8 ** np.arange(120)) @ right.T
+    cells = [(f"u{a}", f"i{b}", float(dense[a, b])) for a in range(300) for b in range(120)]
+    train = rows("user_id STRING, product_id STRING, implicit_score DOUBLE", *cells)
     exact = np.linalg.svd(dense, compute_uv=False)[:50]
-    assert np.allclose(model.singular_values, exact, rtol=1e-8)
+    assert np.allclose(svd.fit(train).singular_values, exact, rtol=1e-6)
+
+
+def test_nothing_on_the_driver_grows_with_items(spark, rows, monkeypatch):
+    """What a fit brings to the driver has at most as many rows as the basis has columns."""
+    seen = []
+    merged = svd._merged
+    monkeypatch.setattr(svd, "_merged", lambda *args: seen.append(merged(*args)) or seen[-1])
+    monkeypatch.setattr(svd, "ITEM_BLOCK", 64)
+    dense = np.random.default_rng(2).poisson(0.3, size=(80, 500)).astype(float)
+    svd.fit(long_matrix(rows, dense), components=3, oversample=2, steps=3)
+    assert seen and max(max(x.shape) for x in seen) <= 5 * 4
 
 
 def test_no_quiet_end(spark, rows, monkeypatch):
     dense = np.random.default_rng(9).poisson(0.4, size=(60, 40)).astype(float)
-    monkeypatch.setattr(svd, "STEPS", 1)
     monkeypatch.setattr(svd, "STEPS_JOINED", 1)
-    for method in ("sent", "joined"):
+    for options in ({"steps": 1, "tolerance": 1e-9}, {"method": "joined"}):
         with pytest.raises(RuntimeError, match="converged"):
-            svd.fit(long_matrix(rows, dense), components=3, oversample=2, method=method)
-    monkeypatch.setattr(svd, "BASIS_CELLS", 10)
-    with pytest.raises(ValueError, match="joined"):
-        svd.fit(long_matrix(rows, dense), components=3)
+            svd.fit(long_matrix(rows, dense), components=3, oversample=2, **options)
+    with pytest.raises(ValueError, match="empty"):
+        svd.fit(long_matrix(rows, np.zeros((2, 2))))
 
 
 def test_svd_predict_recommend_and_errors(spark, rows):
