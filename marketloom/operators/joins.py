@@ -8,13 +8,18 @@ the rows.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from marketloom.operators.windows import latest_per_key
 from marketloom.schemas import FeatureView
-
-ASOF_SLICES = 256
+from marketloom.session import materialize
 
 
 def left_join(left: DataFrame, right: DataFrame, on: str, suffix: str) -> DataFrame:
@@ -37,14 +42,57 @@ def realign_to_keys(keys: DataFrame, partial: DataFrame, on: str, *measures: str
     return joined.withColumns({m: F.coalesce(F.col(m), F.lit(0)) for m in measures})
 
 
-def _time_slices(stamps: DataFrame, slices: int) -> list[float]:
-    """Edges that cut all rows into equally filled time slices, from one bounded sketch."""
-    probes = [i / slices for i in range(1, slices)]
-    edges = stamps.agg(
-        F.percentile_approx(F.col("_us"), probes, 10 * slices).alias("q")
-    ).first()["q"]
-    inner = sorted({float(e) for e in edges or [0.0]}) or [0.0]
-    return [float("-inf"), *inner, float("inf")]
+def _carry_facts(keys: int):
+    """A task function over rows sorted by (keys, time, kind): probes come out with the newest fact before them.
+
+    ``hit`` is that fact if the partition has it; ``open`` says that the key may have come
+    from the partition before. One more row per partition holds its last key and that key's
+    newest fact (``last`` is true). Nested functions ship by value.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow.compute as pc
+
+        part = TaskContext.get().partitionId()
+        head, carry, first = None, None, True  # last key, its newest fact, whether it is the partition's first key
+        names = None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            own = [batch.column(i) for i in range(keys)]
+            new = np.zeros(n, bool)
+            for c in own:
+                # null keys have no facts, so nothing depends on whether they are equal
+                new[1:] |= pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, n - 1)), True).to_numpy(zero_copy_only=False)
+            now = [c[0].as_py() for c in own]
+            new[0] = head is not None and now != head
+            at = np.arange(n)
+            kind, facts, rows = batch.column("_kind").to_numpy(), batch.column("_fact"), batch.column("_row")
+            newest = np.maximum.accumulate(np.where(kind == 0, at, -1))
+            start = np.maximum.accumulate(np.where(new, at, -1))  # -1: the key of the batch before
+            pool = pa.concat_arrays([carry if carry is not None else pa.nulls(1, facts.type), facts])
+            known = (newest >= 0) & (newest >= start)
+            # place 0 of the pool is what the batch before carries over
+            index = np.where(known, newest + 1, 0)
+            missing = ~known & ((start >= 0) | (carry is None))
+            opened = missing & (np.cumsum(new) == 0) & first
+            take = pa.array(index, mask=missing)
+            probes = np.flatnonzero(kind == 1)
+            names = names or [*batch.schema.names[:keys], "_row", "_hit", "_open", "_part", "_last"]
+            yield pa.RecordBatch.from_arrays(
+                [*(c.take(pa.array(probes)) for c in own), rows.take(pa.array(probes)), pool.take(take).take(pa.array(probes)), pa.array(opened[probes]), pa.array(np.full(len(probes), part)), pa.array(np.zeros(len(probes), bool))],
+                names=names,
+            )
+            first &= not new.any()
+            head = [c[n - 1].as_py() for c in own]
+            carry = None if missing[-1] else pool.take(pa.array([index[-1]]))
+            edge = [*(c.slice(n - 1) for c in own), pa.nulls(1, rows.type), carry if carry is not None else pa.nulls(1, facts.type)]
+        if names:
+            yield pa.RecordBatch.from_arrays([*edge, pa.array([False]), pa.array([part]), pa.array([True])], names=names)
+
+    return run
 
 
 def asof_join(
@@ -55,66 +103,57 @@ def asof_join(
     ttl_micros: int,
     entity_ts: str = "event_timestamp",
     feature_ts: str = "event_timestamp",
-    slices: int = ASOF_SLICES,
 ) -> DataFrame:
     """Newest feature row at or before each entity row and not older than the TTL.
 
     Adds ``values`` and ``feature_timestamp`` (null without a match). A feature at
     the same instant as the entity matches. Feature rows of one key with equal
-    times resolve to the largest values.
-
-    Nothing depends on how rows spread over keys. Only distinct (key, time) pairs
-    of the entities take part in the search, time is cut into equally filled
-    slices, and the window runs per (key, slice), so its largest group holds about
-    1/``slices`` of the pairs even if one key owns them all. The newest feature of
-    earlier slices comes from a (key, slice) summary of at most ``slices`` rows per
-    key. Resolved pairs are joined back to the full entity rows.
+    times resolve to the largest values. Entities with a null key or time match nothing.
+
+    Both sides are scanned once and meet in one range sort by (key, time), so one key may
+    own all rows: its rows spread over as many partitions as they fill. A pass over each
+    partition carries the newest feature along, in Arrow batches. A key that goes on from
+    the partition before takes over what that one ends with, from a table of one row per
+    partition.
     """
-    probes = entities.select(
-        *keys, F.unix_micros(F.col(entity_ts).cast("timestamp")).alias("_us")
-    ).where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, "_us"])).distinct()
-    facts = features.select(
-        *keys,
-        F.unix_micros(F.col(feature_ts).cast("timestamp")).alias("_us"),
-        F.struct(F.unix_micros(F.col(feature_ts).cast("timestamp")).alias("_fus"), *values).alias("_f"),
-    ).where("_us IS NOT NULL")
-    # one row per (key, time) on the feature side: partial aggregation before the shuffle
-    facts = facts.groupBy(*keys, "_us").agg(F.max("_f").alias("_f"))
-    both = facts.unionByName(probes.withColumn("_is_probe", F.lit(True)), allowMissingColumns=True)
-
-    edges = _time_slices(probes.select("_us").unionByName(facts.select("_us")), slices)
-    bucketizer = Bucketizer(splits=edges, inputCol="_x", outputCol="_slice", handleInvalid="keep")
-    sliced = bucketizer.transform(both.withColumn("_x", F.col("_us").cast("double"))).drop("_x")
-
-    newest = sliced.groupBy(*keys, "_slice").agg(F.max("_f").alias("_last"))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    carried = newest.select(
-        *keys, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carry")
-    )
-    within = Window.partitionBy(*keys, "_slice").orderBy(
-        "_us", F.col("_is_probe").isNotNull()
-    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    resolved = (
-        sliced.withColumn("_here", F.last("_f", ignorenulls=True).over(within))
-        .where("_is_probe")
-        .join(carried, [*keys, "_slice"])
-        .withColumn("_hit", F.coalesce("_here", "_carry"))
-        .where(F.col("_us") - F.col("_hit._fus") <= ttl_micros)
-        .select(*keys, "_us", "_hit")
+
+    def micros(column: str) -> Column:
+        return F.unix_micros(F.col(f"`{column}`").cast("timestamp"))
+
+    names = [f"_k{i}" for i in range(len(keys))]
+    own = [F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)]
+    row = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(entities.columns)))
+    fact = F.struct(micros(feature_ts).alias("at"), *(F.col(f"`{v}`").alias(f"v{i}") for i, v in enumerate(values)))
+    facts = features.select(*own, micros(feature_ts).alias("_us"), F.lit(0).alias("_kind"), fact.alias("_fact"))
+    facts = facts.where(" AND ".join(f"{c} IS NOT NULL" for c in [*names, "_us"]))
+    probes = entities.select(*own, micros(entity_ts).alias("_us"), F.lit(1).alias("_kind"), row.alias("_row"))
+    both = facts.unionByName(probes, allowMissingColumns=True)
+    # rows of one key and time spread by their hash
+    order = [*names, "_us", "_kind", "_fact", F.xxhash64("_row")]
+    both = both.repartitionByRange(*order).sortWithinPartitions(*order)
+    kinds = {f.name: f.dataType for f in both.schema}
+    schema = T.StructType(
+        [T.StructField(n, kinds[n]) for n in (*names, "_row")]
+        + [T.StructField("_hit", kinds["_fact"]), T.StructField("_open", T.BooleanType()), T.StructField("_part", T.LongType()), T.StructField("_last", T.BooleanType())]
     )
-    return (
-        entities.withColumn("_us", F.unix_micros(F.col(entity_ts).cast("timestamp")))
-        .join(resolved, [*keys, "_us"], "left")
-        .withColumns(
-            {
-                **{v: F.col(f"_hit.{v}") for v in values},
-                "feature_timestamp": F.timestamp_micros(F.col("_hit._fus")),
-            }
-        )
-        .drop("_us", "_hit")
+    found = materialize(both.mapInArrow(_carry_facts(len(names)), schema), "asof")
+    # one row per partition of the sort: a size that is known, whatever the data
+    along = Window.partitionBy(*names).orderBy("_part")
+    edges = found.where("_last").select(
+        *(F.col(n).alias(f"_of{n}") for n in names), F.last("_hit", ignorenulls=True).over(along).alias("_before"), F.lead("_part").over(Window.orderBy("_part")).alias("_next")
     )
+    same = [F.col(n).eqNullSafe(F.col(f"_of{n}")) for n in names]
+    resolved = found.where("NOT _last").join(edges, reduce(lambda x, y: x & y, [F.col("_part") == F.col("_next"), F.col("_open"), *same]), "left")
+    hit = resolved.select(F.col("_row"), micros_of(entities, entity_ts).alias("_us"), F.coalesce("_hit", "_before").alias("_hit"))
+    fresh = hit.withColumn("_hit", F.when(F.col("_us") - F.col("_hit.at") <= ttl_micros, F.col("_hit")))
+    kept = {c: F.col(f"_row.c{i}") for i, c in enumerate(entities.columns)}
+    kept |= {v: F.col(f"_hit.v{i}") for i, v in enumerate(values)} | {"feature_timestamp": F.timestamp_micros(F.col("_hit.at"))}
+    return fresh.select(*(c.alias(n) for n, c in kept.items()))
+
+
+def micros_of(entities: DataFrame, column: str) -> Column:
+    """Time of a packed entity row."""
+    return F.unix_micros(F.col(f"_row.c{entities.columns.index(column)}").cast("timestamp"))
 
 
 def view_columns(view: FeatureView, wanted: list[str] | None = None) -> list[Column]:
@@ -158,8 +197,31 @@ def snapshot_join(
 
 
 def online_lookup(keys: DataFrame, features: DataFrame, view: FeatureView, wanted: list[str]) -> DataFrame:
-    """Latest feature values for the given keys; null for an unknown key."""
-    latest = features.groupBy(*view.keys).agg(
-        F.max_by(F.struct(*view_columns(view, wanted)), view.timestamp).alias("_f")
-    )
-    return keys.join(latest, list(view.keys), "left").select(*keys.columns, "_f.*")
+    """Latest feature values for the given keys; null for an unknown key. Only the wanted keys' rows are compared."""
+    asked = features.join(keys.select(*view.keys).distinct(), list(view.keys), "left_semi")
+    rows = asked.select(*view.keys, view.timestamp, *view_columns(view, wanted))
+    latest = latest_per_key(rows, list(view.keys), [view.timestamp]).drop(view.timestamp)
+    return keys.join(latest, list(view.keys), "left").select(*keys.columns, *wanted)
+
+
+def validity(history: DataFrame, view: FeatureView) -> DataFrame:
+    """Rows of successive snapshots with the time in which each counts: ``valid_from`` (included) to ``valid_to`` (excluded, null: open).
+
+    A key's row counts until the next snapshot that has the key, or to the end of the view's
+    time to live. A snapshot that has the same features again adds no interval.
+    """
+    rows = history.select(*view.keys, F.col(view.timestamp).cast("timestamp").alias("valid_from"), F.struct(*view_columns(view)).alias("_f"))
+    own = Window.partitionBy(*view.keys).orderBy("valid_from")
+    changed = rows.withColumn("_before", F.lag("_f").over(own)).where("_before IS NULL OR NOT (_before <=> _f)").drop("_before")
+    return changed.withColumn("valid_to", F.lead("valid_from").over(own)).select(*view.keys, "valid_from", "valid_to", "_f.*")
+
+
+def history_join(entities: DataFrame, history: DataFrame, view: FeatureView, wanted: list[str] | None = None, entity_ts: str = "event_timestamp") -> DataFrame:
+    """Point-in-time join with all snapshots of a view: each row gets the features that counted at its time.
+
+    Features whose name the entity frame already has are prefixed ``view__``.
+    """
+    names = wanted if wanted is not None else view.features
+    rows = history.select(*view.keys, view.timestamp, *view_columns(view, names)).withColumnsRenamed({n: f"_f_{n}" for n in names})
+    found = asof_join(entities, rows, list(view.keys), [f"_f_{n}" for n in names], view.ttl_days * 86_400_000_000, entity_ts, view.timestamp)
+    return found.drop("feature_timestamp").withColumnsRenamed({f"_f_{n}": f"{view.name}__{n}" if n in entities.columns else n for n in names})

@@ -195,8 +195,26 @@ def newest(rows: DataFrame) -> DataFrame:
     return rows.join(last, [*KEYS, SEQ], "left_semi")
 
 
-def publish(spark: SparkSession, store: str, target: str, event_time, label: str = "") -> int:
-    """Write the finished tables with their event time and text ids as one more version of ``target``, as feature views read them."""
+def published_schema(name: str) -> T.StructType:
+    """Columns of a published table: ids as text, and the event time."""
+    text = {"user_id", "product_id"}
+    kept = [T.StructField(f.name, T.StringType()) if f.name in text else f for f in SCHEMAS[name]]
+    return T.StructType([*kept, T.StructField("event_timestamp", T.TimestampType())])
+
+
+def publish(spark: SparkSession, store: str, target: str, as_of) -> int | None:
+    """Write the finished tables with event times and text ids as one more version of ``target``, as feature views read them.
+
+    Users and products count from ``as_of`` on; an interaction happened when its batch was
+    applied. All versions stay, so that earlier events find the features of their time. A
+    state that is published already is not written again (None).
+    """
     version = snapshots.current(spark, store)
-    tables = {n: feat.with_event_time(load(spark, store, n, version), event_time) for n in SCHEMAS}
-    return snapshots.save_snapshots(spark, target, tables, {label or f"version:{version.number}": str(event_time)})
+    mark = {"state": str(version.number)}
+    if not version.number or snapshots.held_batches(spark, target) == mark:
+        return None
+    tables = {}
+    for name in SCHEMAS:
+        at = F.col("created_at") if name == LIVE else as_of
+        tables[name] = feat.with_event_time(load(spark, store, name, version), at)
+    return snapshots.save_snapshots(spark, target, tables, mark, keep=None)

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.operators import joins as J
 from marketloom.operators.cleaning import id_to_string
-from marketloom.plans import content, evaluate, runs, svd
+from marketloom.plans import content, evaluate, feature_state, jobs, runs, svd
 from marketloom.schemas import INTERACTION_VIEW, PRODUCT_VIEW, USER_VIEW
 from marketloom.session import materialize
+from marketloom.sources import snapshots
 from marketloom.sources.files import write_csv
 
+VIEWS = "processed/views"  # published feature tables, below the data root
+
 # fixed values: the features a model is trained on (product interaction counts are left out)
 USER_COLUMNS = USER_VIEW.features
 PRODUCT_COLUMNS = [f for f in PRODUCT_VIEW.features if f != "interaction_count"]
@@ -31,6 +34,28 @@ def training_set(interactions: DataFrame, users: DataFrame, products: DataFrame)
     return df.withColumn("implicit_score", score)
 
 
+def training_set_of(spark: SparkSession, views: str) -> DataFrame:
+    """The published interactions with the user and product features that counted when they happened."""
+    newest = snapshots.load_snapshot(spark, views, "interaction_features", feature_state.published_schema("interaction_features"))
+    past = {n: snapshots.history(spark, views, n, feature_state.published_schema(n)) for n in ("user_features", "product_features")}
+    df = J.history_join(newest, past["user_features"], USER_VIEW, USER_COLUMNS)
+    df = J.history_join(df, past["product_features"], PRODUCT_VIEW, PRODUCT_COLUMNS)
+    score = F.coalesce(F.col("implicit_score").try_cast("double"), F.lit(0.0))
+    return df.withColumn("implicit_score", score)
+
+
+def train_job(spark: SparkSession, root: str, output: str, ledger: str, as_of: str | None = None, **options) -> DataFrame:
+    """Publish the feature state, build the training set from all published versions, fit, evaluate and log.
+
+    The content model takes the newest product features.
+    """
+    store, views = f"{root}/{jobs.FEATURES}", f"{root}/{VIEWS}"
+    feature_state.publish(spark, store, views, as_of or jobs.now())
+    training = training_set_of(spark, views)
+    products = snapshots.load_snapshot(spark, views, "product_features", feature_state.published_schema("product_features"))
+    return train_and_log(training, products, output, ledger, **options)
+
+
 def feature_service(entities: DataFrame, users: DataFrame, products: DataFrame, interactions: DataFrame) -> DataFrame:
     """All features of the three views for (user, product, event time) rows, each prefixed by its view."""
     df = id_to_string(entities.select("user_id", "product_id", "event_timestamp"), "user_id", "product_id")

@@ -94,18 +94,19 @@ def next_folder(spark: SparkSession, root: str) -> str:
     return _folder(max(_numbers(spark, root), default=0) + 1)
 
 
-def commit(spark: SparkSession, root: str, folder: str, parts: dict[str, dict[str, str]], batches: dict[str, str]) -> int:
-    """Make ``folder`` a version of these parts and batches, and drop what no kept version holds."""
+def commit(spark: SparkSession, root: str, folder: str, parts: dict[str, dict[str, str]], batches: dict[str, str], keep: int | None = KEPT_VERSIONS) -> int:
+    """Make ``folder`` a version of these parts and batches, and drop what no kept version holds (``keep`` None: all are kept)."""
     rows = [(BATCHES, b, m) for b, m in batches.items()]
     # a table without parts is there, and empty
     rows += [(name, part, where) for name, own in parts.items() for part, where in own.items()]
     spark.createDataFrame(sorted(rows), "name STRING, part STRING, value STRING").coalesce(1).write.json(f"{root}/{folder}/{MANIFEST}")
     listing.touch(spark, f"{root}/{folder}/{MARKER}")
-    _clean(spark, root)
+    if keep:
+        _clean(spark, root, keep)
     return int(folder[2:])
 
 
-def save_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame], batches: dict[str, str]) -> int:
+def save_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame], batches: dict[str, str], keep: int | None = KEPT_VERSIONS) -> int:
     """Write whole tables as a new version that holds ``batches`` and commit it.
 
     Never writes where it reads: the new version may be computed from the old one.
@@ -113,7 +114,13 @@ def save_snapshots(spark: SparkSession, root: str, tables: dict[str, DataFrame],
     folder = next_folder(spark, root)
     for name, df in tables.items():
         df.write.parquet(f"{root}/{folder}/{name}")
-    return commit(spark, root, folder, {name: {WHOLE: f"{folder}/{name}"} for name in tables}, batches)
+    return commit(spark, root, folder, {name: {WHOLE: f"{folder}/{name}"} for name in tables}, batches, keep)
+
+
+def history(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """The rows of a table in all versions that are there, one after the other."""
+    found = [read_version(spark, root, n).parts.get(name, {}) for n in _versions(spark, root)]
+    return read_parts(spark, root, {f for own in found for f in own.values()}, schema)
 
 
 def write_by(df: DataFrame, root: str, folder: str, name: str, by: str) -> dict[str, str]:
@@ -126,9 +133,9 @@ def write_by(df: DataFrame, root: str, folder: str, name: str, by: str) -> dict[
     return {v: f"{where}/{by}={v}" for v in listing.partition_values(spark, f"{root}/{where}", by)}
 
 
-def _clean(spark: SparkSession, root: str) -> None:
+def _clean(spark: SparkSession, root: str, keep: int) -> None:
     """Remove versions that are no longer kept, except for folders that a kept one consists of."""
-    kept = _versions(spark, root)[-KEPT_VERSIONS:]
+    kept = _versions(spark, root)[-keep:]
     held = {f for n in kept for own in read_version(spark, root, n).parts.values() for f in own.values()}
     for number in _numbers(spark, root):
         if number >= kept[-1] or number in kept:

@@ -9,9 +9,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from marketloom.operators import joins as J
 from marketloom.operators import quality as Q
 from marketloom.plans import curate, feature_state, features, jobs, runs, training
-from marketloom.schemas import CATALOG, INTERACTIONS, PROFILES
+from marketloom.schemas import CATALOG, INTERACTIONS, PROFILES, USER_VIEW
 from marketloom.session import scratch_root
 from marketloom.sources import files, listing, snapshots
 from marketloom.streaming import jobs as streams
@@ -448,10 +449,26 @@ def test_upsert_writes_only_parts_of_the_batch(spark, tmp_path):
     assert len(got) == 92 and {(0, "2024-01-01", 7), (500, "2024-02-01", 1), (None, None, 2)} <= set(got)
 
 
-def test_published_features_carry_their_event_time(spark, tmp_path):
-    store, target = str(tmp_path / "store"), str(tmp_path / "views")
-    df = spark.createDataFrame([(1, 1, "view", NOON)], EVENT_ROWS)
-    feature_state.put(spark, store, snapshots.current(spark, store), "date:20240101", "", df, "2025-01-01", "20240101")
-    feature_state.publish(spark, store, target, "2025-03-01 00:00:00")
-    row = spark.read.parquet(f"{target}/v=000001/user_features").first()
-    assert (row["user_id"], str(row["event_timestamp"])) == ("1", "2025-03-01 00:00:00")
+def test_training_from_the_store_sees_the_features_of_the_time(spark, tmp_path):
+    """Two published versions: an interaction of the first one gets the older user features."""
+    root, store, views = str(tmp_path), f"{tmp_path}/{jobs.FEATURES}", f"{tmp_path}/{training.VIEWS}"
+    assert feature_state.publish(spark, store, views, "2025-01-01") is None
+    cells = [(u, i, EVENTS[(u * i) % 4], NOON + 60 * (u * 7 + i)) for u in range(1, 13) for i in range(1, 9) if (u + i) % 3]
+    curated_day(spark, root, "20240101", cells)
+    jobs.feature_job(spark, root, as_of="2025-01-01 00:00:00")
+    assert feature_state.publish(spark, store, views, "2025-01-01 00:00:00") == 1
+    assert feature_state.publish(spark, store, views, "2025-01-01 00:00:00") is None
+    curated_day(spark, root, "20240102", [(1, 1, "view", NOON + 86_400), (1, 2, "view", NOON + 86_400)])
+    jobs.feature_job(spark, root, incremental=True, as_of="2025-02-01 00:00:00")
+    assert feature_state.publish(spark, store, views, "2025-02-01 00:00:00") == 2
+    rows = training.training_set_of(spark, views).where("user_id = '1'").collect()
+    older = sum(1 for u, *_ in cells if u == 1)
+    assert {r["user_features__interaction_count"] for r in rows if str(r["interaction_date"]) == "2024-01-01"} == {older}
+    assert {r["user_features__interaction_count"] for r in rows if str(r["interaction_date"]) == "2024-01-02"} == {older + 2}
+    every = snapshots.history(spark, views, "user_features", feature_state.published_schema("user_features"))
+    spans = {(str(r["valid_from"])[:7], str(r["valid_to"])[:7]) for r in J.validity(every, USER_VIEW).where("user_id = '1'").collect()}
+    # nothing changed for the other users, so their first row goes on
+    assert spans == {("2025-01", "2025-02"), ("2025-02", "None")}
+    assert J.validity(every, USER_VIEW).count() == 13
+    ledger = training.train_job(spark, root, f"{root}/out", f"{root}/runs", models=("content",), n=3)
+    assert runs.latest_run(ledger).count() == 1

@@ -165,9 +165,21 @@ def brute_asof(entities, features, ttl):
     return sorted(out)
 
 
-@pytest.mark.parametrize("slices", [1, 3, 64])
-def test_asof_matches_brute_force(rows, slices):
-    rng = random.Random(slices)
+@pytest.fixture
+def many_partitions(spark):
+    """Keeps partitions of few rows apart, so that a key spreads over several."""
+    names = ["spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions"]
+    before = [spark.conf.get(n) for n in names]
+    for n, v in zip(names, ("false", "13")):
+        spark.conf.set(n, v)
+    yield
+    for n, v in zip(names, before):
+        spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_asof_matches_brute_force(rows, many_partitions, seed):
+    rng = random.Random(seed)
     start = datetime(2024, 1, 1)
 
     def when():
@@ -175,7 +187,7 @@ def test_asof_matches_brute_force(rows, slices):
 
     # one key holds most rows on both sides
     def key():
-        return 0 if rng.random() < 0.6 else rng.randint(1, 5)
+        return 0 if seed == 3 or rng.random() < 0.6 else rng.randint(1, 5)
 
     features = [(key(), when(), float(i)) for i in range(150)]
     entities = [(i, key(), when()) for i in range(200)] + [(200, 99, start), (201, None, start), (202, 0, None)]
@@ -183,11 +195,31 @@ def test_asof_matches_brute_force(rows, slices):
     got = J.asof_join(
         rows("i BIGINT, k BIGINT, t TIMESTAMP", *entities),
         rows("k BIGINT, t TIMESTAMP, v DOUBLE", *features),
-        ["k"], ["v"], int(ttl.total_seconds() * 1e6), "t", "t", slices,
+        ["k"], ["v"], int(ttl.total_seconds() * 1e6), "t", "t",
     )
     assert sorted((r["i"], r["v"]) for r in got.collect()) == brute_asof(entities, features, ttl)
 
 
+def test_asof_of_one_key_that_owns_all_rows(spark, many_partitions):
+    """A single feature, then very many entities of its key: it is carried over all partitions."""
+    entities = spark.range(5_000).selectExpr("id AS i", "cast(null AS STRING) AS `a.b`", "7 AS k", "'x' AS l", "timestamp_seconds(100 + id) AS t")
+    features = spark.sql("SELECT 7 AS k, 'x' AS l, timestamp_seconds(50) AS t, 1.5 AS v UNION ALL SELECT 7, 'x', timestamp_seconds(4000), 2.5 UNION ALL SELECT 7, 'y', timestamp_seconds(60), 9.5")
+    got = J.asof_join(entities, features, ["k", "l"], ["v"], 10**12, "t", "t")
+    plan = got._jdf.queryExecution().toString()
+    assert plan.count("Exchange") <= 6 and "SortAggregate" not in plan
+    assert got.columns == ["i", "a.b", "k", "l", "t", "v", "feature_timestamp"]
+    assert {(r["i"], float(r["v"])) for r in got.collect()} == {(i, 1.5 if i < 3900 else 2.5) for i in range(5_000)}
+    assert J.asof_join(entities.limit(0), features, ["k", "l"], ["v"], 1, "t", "t").count() == 0
+    assert {r["v"] for r in J.asof_join(entities.limit(9), features.limit(0), ["k", "l"], ["v"], 1, "t", "t").collect()} == {None}
+
+
+def test_latest_row_without_sorting_rows(rows):
+    df = rows("k STRING, t BIGINT, u BIGINT, v STRING", ("a", 1, 1, "x"), ("a", 2, 1, "y"), ("a", 2, 3, "z"), ("a", 2, 3, "z"), ("b", None, 1, "n"), (None, 5, 1, "q"), (None, 4, 9, "r"))
+    got = W.latest_per_key(df, ["k"], ["t", "u"])
+    assert "SortAggregate" not in got._jdf.queryExecution().toString()
+    assert {(r["k"], r["v"]) for r in got.collect()} == {("a", "z"), ("b", "n"), (None, "q")} and got.count() == 3
+
+
 def test_asof_equal_time_and_expiry(rows):
     t = datetime(2024, 1, 1)
     features = rows("k BIGINT, t TIMESTAMP, v DOUBLE", (1, t, 1.0), (2, t - timedelta(days=2), 2.0))
