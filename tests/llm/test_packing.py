@@ -64,15 +64,27 @@ def test_every_id_once_and_no_padding(spark):
 def test_ids_are_those_of_the_whole_text(text, monkeypatch):
     monkeypatch.setattr(packing, "SLICE_CHARS", 7)
     ids = library().encode(text, add_special_tokens=False).ids
-    codec = packing.Encoder(PATH)
-    for _ in range(2):  # from the library, then from memory
+    slow, fast = packing.Encoder(PATH), packing.Encoder(PATH, public_tokenizers.PATTERN)
+    assert fast.by_rank and not slow.by_rank
+    for codec in (slow, slow, fast):  # from the library, then from memory, then by rank
         assert np.frombuffer(codec.encode(text), "<u4").tolist() == ids
 
 
+def test_characters_that_are_encoded_by_rank():
+    codec, whole = packing.Encoder(PATH, public_tokenizers.PATTERN), library()
+    plain = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000 and not packing.ODD.search(chr(c))]
+    assert len(plain) > 30_000
+    for at in range(0, len(plain), 500):
+        text = "".join(f"a{c} b{c}{c}1{c}\n{c}  {c}'s" for c in plain[at : at + 500])
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_random_texts_are_cut_at_certain_borders(monkeypatch):
     monkeypatch.setattr(packing, "SLICE_CHARS", 11)
-    rng, codec, whole = random.Random(3), packing.Encoder(PATH), library()
-    for _ in range(400):
+    rng, whole = random.Random(3), library()
+    codecs = [packing.Encoder(PATH), packing.Encoder(PATH, public_tokenizers.PATTERN)]
+    for n in range(600):
+        codec = codecs[n % 2]
         text = "".join(rng.choice(["a", "B", "7", "'s", " ", "  ", "\n", "\t", "\xa0", "é", "日", "!", "<|endoftext|>"]) for _ in range(60))
         assert np.frombuffer(codec.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
