@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom import fixtures as X
@@ -12,6 +15,7 @@ from marketloom.catalog.scans_sinks import (
     DAY,
     dated,
     pandas_like,
+    CATALOG_ROWS,
     CURATED_ROWS,
     INTERACTION_ROWS,
     NEW_PRODUCTS,
@@ -25,6 +29,7 @@ from marketloom.operators import aggregates as A
 from marketloom.operators import joins as J
 from marketloom.plans import curate, eda, feature_state, features, jobs, training
 from marketloom.schemas import (
+    CATALOG,
     INTERACTION_FEATURES,
     INTERACTION_VIEW,
     INTERACTIONS,
@@ -301,7 +306,23 @@ def stream_ingest(spark, sf):
             listing.rename(spark, f"{drop}/{day}/{part}", f"{drop}/{day}/{day}_{part}")
     for _ in range(2):
         streams.ingest_stream(spark, drop, target, checkpoint, INTERACTIONS, once=True).awaitTermination()
-    return files.read_dates(spark, target).drop("batch")
+    parts = [files.read_partition(spark, target, day, schema=INTERACTIONS).withColumn("ingestion_date", F.lit(day)) for day in sorted(days)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("stream_catalog", with_(f"SELECT *, '20240131' AS ingestion_date FROM ({CATALOG_ROWS})", "raw_catalog"))
+def stream_catalog(spark, sf):
+    """A first document of half the products, then one of all of them for the same date, each in a run of its own."""
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("documents", "api", "checkpoint"))
+    rows = X.raw_catalog(spark, sf)
+    for n, part in enumerate((rows.where("product_id % 2 = 0"), rows)):
+        files.write_catalog_json(part.coalesce(1), f"{source}/{n}", "20240131")
+        folder = f"{source}/{n}/ingestion_date=20240131"
+        for name in listing.list_names(spark, folder):
+            if name.endswith(".json"):
+                listing.rename(spark, f"{folder}/{name}", f"{folder}/20240131_{n}_product_catalog.json")
+        streams.catalog_stream(spark, source, target, checkpoint, once=True, lines=True).awaitTermination()
+    return files.read_catalog_json(spark, f"{target}/ingestion_date=20240131", CATALOG, lines=True).withColumn("ingestion_date", F.lit("20240131"))
 
 
 @register(

@@ -20,8 +20,9 @@ def read_csv(
     """CSV with a header line, which names the columns whatever their order.
 
     With a schema all fields are read as text, its columns are taken by name (a missing
-    one is an error, others are left out) and converted as ``from_text`` says. Without
-    one the types may be inferred, at the price of one more pass over the file.
+    one is an error, others are left out) and converted as ``from_text`` says; files with
+    the same header are one read, however many they are, and empty files have no rows.
+    Without one the types may be inferred, at the price of one more pass over the file.
     """
     paths = [path] if isinstance(path, str) else path
     for p in paths:
@@ -31,8 +32,12 @@ def read_csv(
     if schema is None:
         return reader.option("inferSchema", infer).csv(paths)
     # files of one read may order their columns differently
-    frames = [from_text(reader.csv(p), schema) for p in paths]
-    return reduce(DataFrame.unionByName, frames)
+    by_header: dict[str, list[str]] = {}
+    for p, header in zip(paths, [None] if len(paths) == 1 else listing.first_lines(spark, paths)):
+        if header is not None or len(paths) == 1:
+            by_header.setdefault(header or "", []).append(p)
+    frames = [from_text(reader.csv(own), schema) for own in by_header.values()]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
 
 
 def from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -66,15 +71,16 @@ def read_partition(
 ) -> DataFrame:
     """One date partition of a table (the newest by default), without its partition column.
 
-    Parquet files are preferred; a partition that holds only CSV files is read as
+    Parquet files are preferred, also those of single batches in folders of their own below
+    the date, as streams land them; a partition that holds only CSV files is read as
     CSV. The choice is made from the file listing because Spark reads are lazy.
     """
     date = date or listing.latest_partition(spark, root, key)
     folder = f"{root}/{key}={date}"
-    names = [n for n in listing.list_names(spark, folder) if not n.startswith(("_", "."))]
-    if any(n.endswith(".parquet") for n in names):
+    if listing.has_files(spark, folder, ".parquet"):
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(folder)
+        return reader.option("recursiveFileLookup", True).parquet(folder)
+    names = [n for n in listing.list_names(spark, folder) if not n.startswith(("_", "."))]
     csv = [f"{folder}/{n}" for n in names if n.endswith(".csv")]
     if csv:
         return read_csv(spark, csv, schema, infer=schema is None)

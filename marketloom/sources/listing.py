@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -28,6 +29,35 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def has_files(spark: SparkSession, path: str, suffix: str) -> bool:
+    """Whether a data file with this ending lies anywhere below ``path``."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return False
+    found = fs.listFiles(target, True)
+    while found.hasNext():
+        name = found.next().getPath().getName()
+        if name.endswith(suffix) and not name.startswith(("_", ".")):
+            return True
+    return False
+
+
+def first_lines(spark: SparkSession, paths: list[str], at_once: int = 16) -> list[str | None]:
+    """The first line of each text file; None for an empty one. Opens the files, reads no further."""
+
+    def first(path: str) -> str | None:
+        fs, target = _fs(spark, path)
+        jvm = spark._jvm
+        stream = fs.open(target)
+        try:
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"), 1024).readLine()
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(first, paths))
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
     """Names, sizes and times of the files directly below ``path``, as one short text."""
     fs, target = _fs(spark, path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketloom.operators.windows import latest_per_key, replace_rows
 from marketloom.plans import feature_state
-from marketloom.schemas import FEATURE_EPOCH
+from marketloom.schemas import CATALOG, FEATURE_EPOCH
 from marketloom.session import materialize
 from marketloom.sources import files, snapshots
 
@@ -39,21 +40,42 @@ def ingest_stream(
     the query.
     """
 
-    def land(batch: DataFrame, batch_id: int) -> None:
+    def land(session: SparkSession, date: str, paths: list[str], batch: str) -> None:
+        rows = files.read_csv(session, sorted(paths), schema)
+        rows.write.mode("overwrite").parquet(f"{target}/ingestion_date={date}/batch={batch}")
+
+    return _poll(spark, drop, "*.csv", checkpoint, land, once, interval)
+
+
+def catalog_stream(spark: SparkSession, source: str, target: str, checkpoint: str, once: bool = False, interval: str = POLL, lines: bool = False) -> StreamingQuery:
+    """Land catalog documents as they arrive; the newest document of a date is what the date's partition holds.
+
+    Of the documents of one batch the one written last counts, then the greater name. A
+    replayed batch lands the same documents again. ``lines``: a document has one product per line.
+    """
+
+    def land(session: SparkSession, date: str, paths: list[str], batch: str) -> None:
+        files.write_catalog_json(files.read_catalog_json(session, paths[-1], CATALOG, lines), target, date)
+
+    return _poll(spark, source, "*_product_catalog.json", checkpoint, land, once, interval)
+
+
+def _poll(spark: SparkSession, folder: str, pattern: str, checkpoint: str, land: Callable[[SparkSession, str, list[str], str], None], once: bool, interval: str) -> StreamingQuery:
+    """Call ``land`` for each date among the files of a batch; the files come in the order in which they were written."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         # a name per file of one batch, at most maxFilesPerTrigger
-        paths = [r[0] for r in batch.select("path").distinct().collect()]
+        paths = [r[0] for r in batch.distinct().orderBy("modificationTime", "path").collect()]
         dates = {p: re.match(r"(\d{8})_", p.rsplit("/", 1)[-1]) for p in paths}
         if undated := [p for p, d in dates.items() if not d]:
             raise ValueError(f"no date in the names of {undated}")
         for date in sorted({d[1] for d in dates.values()}):
-            rows = files.read_csv(session, sorted(p for p, d in dates.items() if d[1] == date), schema)
-            rows.write.mode("overwrite").parquet(f"{target}/ingestion_date={date}/batch={query_id(session)}-{batch_id}")
+            land(session, date, [p for p, d in dates.items() if d[1] == date], f"{query_id(session)}-{batch_id}")
 
     listed = spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
-    listed = listed.option("maxFilesPerTrigger", 1000).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-    names = listed.load(drop)
-    writer = names.select("path").writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    listed = listed.option("maxFilesPerTrigger", 1000).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    writer = listed.load(folder).select("path", "modificationTime").writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(writer, once, interval).start()
 
 

@@ -298,6 +298,47 @@ def test_ingest_stream_lands_by_date_and_name(spark, tmp_path):
     assert sorted((r["user_id"], r["product_id"], r["event_type"], r["ingestion_date"]) for r in rows) == [(1, 2, "view", "20240101"), (3, 4, "click", "20240102")]
 
 
+def test_streamed_drops_go_through_the_jobs(spark, tmp_path):
+    """What the streams land is read, checked and curated like any other drop."""
+    drop, root = tmp_path / "drop", str(tmp_path / "lake")
+    write_drop(drop, "20240101", DAY1, PEOPLE, [product(1)])
+    targets = {n: f"{root}/{p}" for n, p in jobs.RAW.items()}
+
+    def poll():
+        for name, schema in (("user_interactions", INTERACTIONS), ("user_profiles", PROFILES)):
+            part = tmp_path / name
+            part.mkdir(exist_ok=True)
+            for file in drop.glob(f"*_{name}.csv"):
+                (part / file.name).write_text(file.read_text())
+            streams.ingest_stream(spark, str(part), targets[name], str(tmp_path / f"c-{name}"), schema, once=True).awaitTermination()
+        streams.catalog_stream(spark, str(drop), targets["product_catalog"], str(tmp_path / "c-catalog"), once=True).awaitTermination()
+
+    poll()
+    # a second file of the date, in another order of columns, and a newer catalog
+    (drop / "20240101_late_user_interactions.csv").write_text(f"timestamp,product_id,user_id,duration_seconds,event_type\n{NOON + 7},2,2,5,click\n")
+    (drop / "20240101_b_product_catalog.json").write_text(json.dumps([product(1), product(2)]))
+    poll()
+    raw = jobs.load_raw(spark, root)
+    assert raw["user_interactions"].count() == 5 and raw["user_interactions"].columns == INTERACTIONS.fieldNames()
+    assert sorted(r["product_id"] for r in raw["product_catalog"].collect()) == [1, 2]
+    Q.gate(raw, coerce_first=True)
+    assert jobs.curate_job(spark, root) == "20240101"
+    assert spark.read.parquet(f"{root}/{jobs.CURATED}").count() == 4
+    poll()
+    assert jobs.load_raw(spark, root)["user_interactions"].count() == 5
+
+
+def test_files_of_one_header_are_one_read(spark, tmp_path):
+    for i in range(40):
+        header = "user_id,product_id,event_type,timestamp,duration_seconds" if i % 2 else "product_id,user_id,event_type,timestamp,duration_seconds"
+        (tmp_path / f"20240101_{i}.csv").write_text(f"{header}\n{i},{i + 100},view,{NOON},1\n")
+    (tmp_path / "20240101_empty.csv").write_text("")
+    df = files.read_csv(spark, [str(p) for p in sorted(tmp_path.iterdir())], INTERACTIONS)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    assert {(r["user_id"], r["product_id"]) for r in df.collect()} == {(i, i + 100) if i % 2 else (i + 100, i) for i in range(40)}
+    assert files.read_csv(spark, [str(tmp_path / "20240101_empty.csv")] * 2, INTERACTIONS).count() == 0
+
+
 def test_report_is_there_after_the_gate_stops(spark, tmp_path):
     drop, root = tmp_path / "drop", str(tmp_path / "lake")
     write_drop(drop, "20240103", [(1, 1, "steal", NOON, 5)], PEOPLE, [product(1)])
