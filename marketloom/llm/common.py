@@ -44,6 +44,21 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), null_text, mark)
 
 
+def wrapped(docs: DataFrame, **needed: Column) -> DataFrame:
+    """The rows as one column ``row`` beside working columns, which no column of the input can clash with."""
+    whole = F.struct(*(F.col(_quoted(c)).alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    return docs.select(whole.alias("row"), *(c.alias(n) for n, c in needed.items()))
+
+
+def unwrapped(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``wrapped`` with the columns of ``docs`` again."""
+    return rows.select(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def spread(spark: SparkSession, tasks_per_slot: int = 3) -> int:
     """Partitions for compute-bound stages: a fixed number would not follow the cluster."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks_per_slot * spark.sparkContext.defaultParallelism)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.llm.common import SPACE, spread, table, text_or_empty
+from marketloom.llm.common import SPACE, spread, table, text_or_empty, unwrapped, wrapped
 from marketloom.session import materialize
 
 BLOCK_BYTES = 8192
@@ -165,20 +165,21 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns.
 
     Rows are found again by id, length and digest, not by a row number, which a second
-    reading might deal out differently. The window keeps one of rows that repeat.
+    reading might deal out differently. Of rows that agree in them the one whose hash is least
+    stays.
     """
-    key = ["__id", "__digest", "__n_chars"]
+    key = ["id", "digest", "n_chars"]
     found = decide(identities(docs)).where("row = keep_row")
-    marks = found.select(F.coalesce("id", F.lit(NULL_ID)).alias(key[0]), F.col("digest").alias(key[1]), F.col("n_chars").alias(key[2]))
-    keyed = docs.select(
-        "*",
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias(key[0]),
-        F.unhex(F.sha2(F.regexp_replace(text_or_empty(), SPACE, "").cast("binary"), 256)).alias(key[1]),
-        F.char_length(text_or_empty()).cast("bigint").alias(key[2]),
+    marks = found.select(F.coalesce("id", F.lit(NULL_ID)).alias("id"), "digest", "n_chars")
+    keyed = wrapped(
+        docs,
+        id=F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)),
+        digest=F.unhex(F.sha2(F.regexp_replace(text_or_empty(), SPACE, "").cast("binary"), 256)),
+        n_chars=F.char_length(text_or_empty()).cast("bigint"),
     )
-    same = Window.partitionBy(*key).orderBy(F.lit(0))
-    kept = keyed.join(marks, key, "left_semi").withColumn("__n", F.row_number().over(same))
-    return kept.where("__n = 1").select(*docs.columns)
+    same = Window.partitionBy(*key).orderBy(F.xxhash64("row"))
+    kept = keyed.join(marks, key, "left_semi").withColumn("nth", F.row_number().over(same))
+    return unwrapped(kept.where("nth = 1"), docs)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,15 +8,14 @@ each node the left half gets a hypergeometric share of the words asked for, give
 either half holds (drawn from the normal law of that mean and variance, rounded, and
 kept inside what both halves can give), so quotas stay exact at every level. In a leaf,
 one source in one shard, documents are permuted and taken until the quota is met; the
-last one is taken in part. Draws and permutations come from hashes of (seed, place), so
+last one counts in part (as a document it is taken whole from its half on). Draws and permutations come from hashes of (seed, place), so
 reruns agree. Shards have a bounded number of words: the tree is deeper for more data,
 and a source that holds a third of all rows is spread over all shards.
 
 Defined results: null texts and ids are counted like any others (size 0 for a null
 text), null is a source of its own and the last one; a source without words has target
 0; repeated rows are documents of their own; an empty table gives an empty result;
-working columns start with ``__mix_`` and are dropped or renamed, so that further
-columns of any name pass through.
+further columns of any name pass through ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import WORD, table, text_or_empty
+from marketloom.llm.common import WORD, table, text_or_empty, unwrapped, wrapped
 from marketloom.operators.windows import sorted_positions
 from marketloom.session import materialize
 
@@ -90,13 +89,17 @@ def split_quotas(quotas: DataFrame, held: DataFrame, depth: int) -> DataFrame:
     return now.select("number", F.col("node").alias("shard"), "quota")
 
 
-def mix(rows: DataFrame, size: Column, source_col: str = "source", id_col: str = "doc_id", shard_words: int = SHARD_WORDS, **weighing) -> DataFrame:
+def mix(
+    rows: DataFrame, size: Column, source_col: str = "source", id_col: str = "doc_id", shard_words: int = SHARD_WORDS, text_mark: Column | None = None, **weighing
+) -> DataFrame:
     """The rows with what the mix takes of each: ``__mix_size``, ``_source_size``, ``_target``, ``_taken``, ``_shard`` and ``_order``.
 
-    Sorting a shard by ``__mix_order`` is its local shuffle.
+    Sorting a shard by ``__mix_order`` is its local shuffle. ``text_mark``, a hash of the text,
+    tells rows apart that have no ids of their own. Columns that begin with ``__mix_`` are replaced.
     """
-    sized = rows.withColumn("__mix_size", size)
-    mark = F.xxhash64(F.lit(SEED), F.col(id_col).cast("string"), "__mix_size", F.lit("shard"))
+    sized = rows.drop(*(c for c in rows.columns if c.startswith("__mix_"))).withColumns({"__mix_size": size, "__mix_text": F.lit(0) if text_mark is None else text_mark})
+    own = [F.lit(SEED), F.col(id_col).cast("string"), F.col("__mix_size"), F.col("__mix_text")]
+    mark = F.xxhash64(*own, F.lit("shard"))
     # counted once per (source, slot); how many shards there are follows from the sum
     slots = 1 << SLOT_BITS
     by_slot = sized.groupBy(F.col(source_col).alias("source"), F.pmod(mark, F.lit(slots)).alias("slot")).agg(F.sum("__mix_size").alias("held"))
@@ -112,37 +115,30 @@ def mix(rows: DataFrame, size: Column, source_col: str = "source", id_col: str =
     held = held.groupBy("number", F.shiftright("slot", SLOT_BITS - depth).alias("shard")).agg(F.sum("held").alias("held"))
     quotas = materialize(split_quotas(targets.where("quota > 0").select("number", "quota"), held, depth), "quotas")
     facts = targets.select(*(F.col(c).alias(f"__mix_{c}") for c in ("source", "number", "source_size", "target", "once")))
-    dealt = sized.withColumns({"__mix_shard": shard, "__mix_order": F.xxhash64(F.lit(SEED), F.col(id_col).cast("string"), "__mix_size", F.lit("order"))})
+    dealt = sized.withColumns({"__mix_shard": shard, "__mix_order": F.xxhash64(*own, F.lit("order"))})
     dealt = dealt.join(facts, F.col(source_col).eqNullSafe(F.col("__mix_source")))
     quotas = quotas.select(F.col("number").alias("__mix_number"), F.col("shard").alias("__mix_shard"), F.col("quota").alias("__mix_quota"))
     dealt = dealt.join(quotas, ["__mix_number", "__mix_shard"], "left")
-    leaf = Window.partitionBy("__mix_number", "__mix_shard").orderBy("__mix_order", id_col, "__mix_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    leaf = Window.partitionBy("__mix_number", "__mix_shard").orderBy("__mix_order", id_col, "__mix_size", "__mix_text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     left = F.coalesce("__mix_quota", F.lit(0)) - (F.sum("__mix_size").over(leaf) - F.col("__mix_size"))
     extra = F.greatest(F.lit(0), F.least("__mix_size", left))
     taken = (F.col("__mix_once") * F.col("__mix_size") + extra).cast("bigint")
-    return dealt.withColumn("__mix_taken", taken).drop("__mix_source", "__mix_number", "__mix_once", "__mix_quota")
+    return dealt.withColumn("__mix_taken", taken).drop("__mix_source", "__mix_number", "__mix_once", "__mix_quota", "__mix_text")
 
 
 def mixed_documents(docs: DataFrame, **weighing) -> DataFrame:
-    """The mix as documents: each one as often as it is taken whole, and the first words once more where a part is taken."""
-    dealt = mix(docs, words(text_or_empty()), **weighing)
-    whole = F.when(F.col("__mix_size") > 0, F.floor(F.col("__mix_taken") / F.col("__mix_size"))).otherwise(1).cast("int")
-    part = F.when(F.col("__mix_size") > 0, F.col("__mix_taken") % F.col("__mix_size")).otherwise(0).cast("int")
-    copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    out = dealt.withColumn("__mix_part", F.explode(copies))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("__mix_part")), " ")
-    text = F.when(F.col("__mix_part") > 0, cut).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__mix_part") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    """The mix as documents, whole ones only: each as often as it is taken, a part of one counting once from its half on."""
+    rows = wrapped(docs, doc_id=F.col("doc_id"), source=F.col("source"), size=words(text_or_empty()), text_mark=F.xxhash64("text"))
+    dealt = mix(rows, F.col("size"), text_mark=F.col("text_mark"), **weighing)
+    copies = F.when(F.col("size") > 0, F.round(F.col("__mix_taken") / F.col("size"))).otherwise(1).cast("int")
+    return unwrapped(dealt.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies))), docs)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     docs = table(spark, sf_dir, "documents")
-    sizes = materialize(docs.select("doc_id", "source", words(text_or_empty()).alias("size")), "sizes")
-    return mix(sizes, F.col("size")).select(
+    sizes = materialize(docs.select("doc_id", "source", words(text_or_empty()).alias("size"), F.xxhash64("text").alias("text_mark")), "sizes")
+    return mix(sizes, F.col("size"), text_mark=F.col("text_mark")).select(
         "doc_id", "size", F.col("__mix_source_size").alias("source_size"), F.col("__mix_target").alias("target"), F.col("__mix_taken").alias("taken"),
         F.col("__mix_shard").alias("shard"), F.col("__mix_order").alias("shard_order"),
     )

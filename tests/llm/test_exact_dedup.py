@@ -43,3 +43,11 @@ def test_documents_that_stay(docs):
     assert got.columns == frame.columns
     assert by_id(got, "doc_id", "text") == by_id(docs((3, " \t\n"), (None, "no id here at all"), (4, "twice the same row"), ODD[-1], (22, "a  b")), "doc_id", "text")
     assert exact_dedup.keep_first(docs()).count() == exact_dedup.digest(docs()).count() == 0
+
+
+def test_columns_of_any_name_stay(docs):
+    frame = docs((1, "a b"), (1, "ab"), (1, "a  b"), (2, "c"))
+    out = exact_dedup.keep_first(frame).collect()
+    assert sorted((r.doc_id, r.text) for r in out) == [(1, "a  b"), (2, "c")] and all(r["__id"] == r["__n"] == r["a.b"] == 7 for r in out)
+    tie = docs((5, "x y"), (5, " xy"), (5, "xy "))
+    assert len({exact_dedup.keep_first(tie.repartition(n)).first().text for n in (1, 2, 5)}) == 1
