@@ -50,7 +50,7 @@ def build(spark) -> dict:
     raw, profiles, catalog = (
         materialize(view(spark, SF), "raw") for view in (X.raw_order_interactions, X.raw_profiles, X.raw_catalog)
     )
-    cur = materialize(curate.curate(raw, profiles, catalog), "curated")
+    cur = materialize(curate.curate(raw, profiles, catalog, wide_one_hot=True), "curated")
     products = materialize(features.product_features(cur), "products")
     table = materialize(features.interaction_features(cur), "interactions")
     train, test = evaluate.split(table, "user_id", "product_id", "interaction_date")
@@ -61,7 +61,7 @@ def build(spark) -> dict:
     views = events.where("event_type = 'view'").select("user_id", "ts", "value")
     purchases = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     return {
-        "curated_dataset": lambda: noop(curate.curate(raw, profiles, catalog)),
+        "curated_dataset": lambda: noop(curate.curate(raw, profiles, catalog, wide_one_hot=True)),
         "dq_interactions": lambda: noop(Q.suite_report(raw, "user_interactions")),
         "user_features": lambda: noop(features.user_features(cur)),
         "product_features": lambda: noop(features.product_features(cur)),

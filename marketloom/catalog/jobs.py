@@ -62,7 +62,7 @@ def curate_interactions(spark, sf):
     ),
 )
 def curate_profiles(spark, sf):
-    return curate.curate_profiles(X.raw_profiles(spark, sf))
+    return curate.curate_profiles(X.raw_profiles(spark, sf), wide_one_hot=True)
 
 
 _CC = ["price", "rating_avg", "price_scaled", "stock_quantity_scaled", "rating_count_log"]
@@ -78,12 +78,12 @@ _HOT = [f"cat_{c}" for c in O.CATEGORIES] + [f"subcat_{c}" for c in O.SUBCATEGOR
     ),
 )
 def curate_catalog(spark, sf):
-    return curate.curate_catalog(X.raw_catalog(spark, sf))
+    return curate.curate_catalog(X.raw_catalog(spark, sf), wide_one_hot=True)
 
 
 @register("curated_dataset", with_(CURATED_ROWS, "curated"))
 def curated_dataset(spark, sf):
-    return curate.curate(X.raw_interactions(spark, sf), X.raw_profiles(spark, sf), X.raw_catalog(spark, sf))
+    return curate.curate(X.raw_interactions(spark, sf), X.raw_profiles(spark, sf), X.raw_catalog(spark, sf), wide_one_hot=True)
 
 
 # --- features -------------------------------------------------------------
@@ -265,7 +265,7 @@ _STOCK = "coalesce(stock_quantity, 0)"
     ),
 )
 def eda_dataset(spark, sf):
-    df = eda.eda_dataset(X.raw_interactions(spark, sf), X.raw_profiles(spark, sf), X.raw_catalog(spark, sf))
+    df = eda.eda_dataset(X.raw_interactions(spark, sf), X.raw_profiles(spark, sf), X.raw_catalog(spark, sf), wide_one_hot=True)
     return df.select(
         "user_id", "product_id", "event_type", "timestamp", "event_strength", "duration_scaled", "age", "tier_basic", "tier_premium",
         *[f"cat_{c}" for c in O.CATEGORIES], "location_city", "product_name", "price", "stock_quantity", *_EDA,

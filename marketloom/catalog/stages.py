@@ -34,7 +34,7 @@ def new_batch(df: DataFrame) -> DataFrame:
 
 
 def _curated(spark, sf):
-    return curate.curate(X.raw_interactions(spark, sf), X.raw_profiles(spark, sf), X.raw_catalog(spark, sf))
+    return curate.curate(X.raw_interactions(spark, sf), X.raw_profiles(spark, sf), X.raw_catalog(spark, sf), wide_one_hot=True)
 
 
 def _from_curated(build, part=lambda df: df):
@@ -49,7 +49,7 @@ def split(spark, sf):
 BUILDERS = {
     "curated": _curated,
     "cur_interactions": lambda s, sf: curate.curate_interactions(X.raw_interactions(s, sf)),
-    "cur_catalog": lambda s, sf: curate.curate_catalog(X.raw_catalog(s, sf)),
+    "cur_catalog": lambda s, sf: curate.curate_catalog(X.raw_catalog(s, sf), wide_one_hot=True),
     "user_features": _from_curated(features.user_features),
     "product_features": _from_curated(features.product_features),
     "interaction_features": _from_curated(features.interaction_features),

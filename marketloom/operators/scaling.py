@@ -5,100 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.operators.windows import sorted_positions
 from marketloom.session import materialize
 
-# Rows the last step of an exact median may bring together in one task.
-MEDIAN_TAIL_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
 ONE_HOT_WIDTH = 1_000
 
 
-def _value_at(df: DataFrame, rank: int, count: int, tail_rows: int) -> float:
-    """The value with 0-based ``rank`` among the ``count`` values of ``v`` weighted by ``n``.
+def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    """Exact interpolated medians, nulls ignored, of all columns in one pass and by one way for all sizes.
 
-    Each pass brackets the rank between two sketch quantiles and keeps only the
-    bracket. State per task is one bounded sketch; a bracket of one value, or of
-    at most ``tail_rows`` distinct values, ends the search.
-    """
-    low_rank, frame = rank, df
-    while True:
-        distinct = frame.count()
-        if distinct <= tail_rows:
-            return _exact_small(frame, low_rank)
-        centre = (low_rank + 0.5) / count
-        margin = 4.0 / SKETCH_ACCURACY
-        probes = [max(centre - margin, 0.0), min(centre + margin, 1.0)]
-        low, high = frame.agg(
-            F.percentile_approx(F.col("v"), probes, SKETCH_ACCURACY).alias("q")
-        ).first()["q"]
-        # the sketch ranks distinct values, so check the bracket against the weights
-        below, inside = frame.agg(
-            F.coalesce(F.sum(F.when(F.col("v") < low, F.col("n"))), F.lit(0)),
-            F.coalesce(F.sum(F.when(F.col("v").between(low, high), F.col("n"))), F.lit(0)),
-        ).first()
-        if low_rank < below:
-            frame, count = frame.where(F.col("v") < low), below
-        elif low_rank >= below + inside:
-            low_rank, count = low_rank - below - inside, count - below - inside
-            frame = frame.where(F.col("v") > high)
-        elif low == high:
-            return low
-        else:
-            low_rank, count = low_rank - below, inside
-            frame = frame.where(F.col("v").between(low, high))
-
-
-def _exact_small(frame: DataFrame, rank: int) -> float:
-    """The ranked value among at most ``tail_rows`` counted values, which one window can order."""
-    upto = F.sum("n").over(Window.orderBy("v"))
-    return frame.withColumn("_upto", upto).where(F.col("_upto") > rank).agg(F.min("v")).first()[0]
-
-
-def exact_medians(
-    df: DataFrame, columns: list[str], tail_rows: int = MEDIAN_TAIL_ROWS
-) -> dict[str, float | None]:
-    """Exact interpolated medians, nulls ignored, without gathering a column in one task.
-
-    Values are counted per distinct value first. A column with few distinct
-    values is finished by one weighted percentile over those counts; a column
-    with many is narrowed pass by pass.
+    Values are counted per (column, value), which combines before the shuffle, and range
+    sorted. The weight of each partition of the sort says in which one the middle ranks lie,
+    and only there counts are added up in order: no column is ever gathered in one task, and
+    two numbers per column come to the driver.
     """
     if not columns:
         return {}
-    long = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
-                    for i, c in enumerate(columns)
-                ]
-            )
-        ).alias("e")
-    ).select("e.c", "e.v")
-    counts = long.where("v IS NOT NULL").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    totals = {
-        r["c"]: (r["total"], r["distinct"])
-        for r in counts.groupBy("c")
-        .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"))
-        .collect()
-    }
-    small = [i for i, (_, distinct) in totals.items() if distinct <= tail_rows]
-    found: dict[int, float] = {}
-    if small:
-        found = {
-            r["c"]: r["m"]
-            for r in counts.where(F.col("c").isin(small))
-            .groupBy("c")
-            .agg(F.percentile("v", 0.5, F.col("n")).alias("m"))
-            .collect()
-        }
-    for i, (total, distinct) in totals.items():
-        if distinct > tail_rows:
-            column = materialize(counts.where(F.col("c") == i).select("v", "n"), "median")
-            low = _value_at(column, (total - 1) // 2, total, tail_rows)
-            high = low if total % 2 else _value_at(column, total // 2, total, tail_rows)
-            found[i] = low + (high - low) / 2.0
-    return {name: found.get(i) for i, name in enumerate(columns)}
+    cells = [F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(columns)]
+    long = df.select(F.inline(F.array(*cells))).where("v IS NOT NULL")
+    counts = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    ordered = materialize(counts.orderBy("c", "v").withColumn("part", F.spark_partition_id()), "median")
+    # one row per column and partition of the sort
+    own = Window.partitionBy("c")
+    before = F.coalesce(F.sum("held").over(own.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = ordered.groupBy("c", "part").agg(F.sum("n").alias("held")).select("c", "part", "held", before.alias("before"), F.sum("held").over(own).alias("total"))
+    middle = F.array_distinct(F.array(F.expr("(total - 1) div 2"), F.expr("total div 2")))
+    wanted = parts.withColumn("rank", F.explode(middle)).where("before <= rank AND rank < before + held")
+    near = ordered.join(wanted.select("c", "part", (F.col("rank") - F.col("before")).alias("place")), ["c", "part"])
+    upto = F.sum("n").over(Window.partitionBy("c", "part", "place").orderBy("v"))
+    found = near.withColumn("upto", upto).where("upto > place").groupBy("c", "part", "place").agg(F.min("v").alias("v"))
+    ends: dict[int, list[float]] = {}
+    for c, v in found.select("c", "v").collect():
+        ends.setdefault(c, []).append(v)
+    return {name: min(ends[i]) + (max(ends[i]) - min(ends[i])) / 2.0 if i in ends else None for i, name in enumerate(columns)}
 
 
 def impute_medians(df: DataFrame, *columns: str) -> DataFrame:
@@ -187,6 +126,21 @@ def one_hot(df: DataFrame, column: str, prefix: str, values: list[str] | None =
     )
 
 
+def one_hot_sparse(df: DataFrame, column: str, prefix: str) -> DataFrame:
+    """``prefix_hot``: the names whose flag is 1, as an array, in place of one column per value; a null row has none.
+
+    ``one_hot_dictionary`` numbers the names; no number of values is too large.
+    """
+    text = F.col(f"`{column}`").cast("string")
+    return df.withColumn(f"{prefix}_hot", F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.array(text)))
+
+
+def one_hot_dictionary(df: DataFrame, column: str) -> DataFrame:
+    """(value, position) of the distinct non-null values in their order: the columns that wide flags would have."""
+    values = df.select(F.col(f"`{column}`").cast("string").alias("value")).where("value IS NOT NULL").distinct()
+    return sorted_positions(values, "value")
+
+
 def one_hot_long(df: DataFrame, key: str, *columns: str) -> DataFrame:
     """(key, dim, value=1) rows for any number of distinct values; null is its own value."""
     dims = F.array(

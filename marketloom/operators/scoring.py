@@ -1,9 +1,11 @@
 """Best-N items per user by dot product or cosine, without building user x item rows.
 
-Item vectors are split into chunks of bounded size. A chunk is small enough to be
-sent to every task; users stay partitioned and are scored against it in Arrow
-batches, and only each user's best rows leave the task. More items mean more
-chunks, one after the other, each written out before the next one is sent.
+Items are sorted by the length of their vectors and cut into chunks of bounded size, the
+longest first. Users are dealt to tasks, a bounded number to each, and every chunk goes to
+every task, one after the other, all in one plan. A task keeps the best rows of its users
+so far. No item of a chunk can score higher with a user than the user's length times the
+chunk's greatest (or 1 with cosines), so a user whose list is full and better than that is
+left out of the chunk, and only users who are not are multiplied.
 
 A user has seen some items, which must not be recommended. Each user therefore
 keeps its best n + (number of seen items) rows: at most that many of them can be
@@ -12,15 +14,18 @@ seen ones, so removing them by an anti-join still leaves the true best n.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.operators.windows import top_n_per_key
+from marketloom.operators.windows import sorted_positions, top_n_per_key
 from marketloom.session import materialize, python_partitions
 
-CHUNK_CELLS = 8_000_000  # vector entries sent to every task at once (about 64 MB)
+CHUNK_CELLS = 500_000  # vector entries of a chunk
+DENSE_CELLS = 4_000_000  # a chunk is a full matrix up to that many
+TASK_USERS = 20_000
 SCORE_DECIMALS = 9  # scores closer than this are ties and are ordered by item
 
 
@@ -33,134 +38,167 @@ def pack_vectors(long: DataFrame, key: str) -> DataFrame:
     return packed.select(key, F.col("_v.dim").alias("dims"), F.col("_v.value").alias("vals"), "norm")
 
 
-def _chunks(items: DataFrame, item: str, chunk_cells: int) -> list[DataFrame]:
-    cells, = items.agg(F.coalesce(F.sum(F.size("dims")), F.lit(0))).first()
-    n = max(1, -(-cells // chunk_cells))
-    if n == 1:
-        return [items]
-    part = F.pmod(F.xxhash64(item), F.lit(n))
-    return [items.where(part == i) for i in range(n)]
+def _chunks(items: DataFrame, item: str, chunk_cells: int) -> DataFrame:
+    """(chunk, top, payload): items by falling norm, ``top`` being a chunk's greatest, the payload its vectors as arrays."""
+    n, cells = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("dims")), F.lit(0))).first()
+    rows = max(1, chunk_cells * n // max(cells, 1))
+    placed = sorted_positions(items.select(item, "dims", "vals", "norm", (-F.col("norm")).alias("_down")), "_down", item)
+    numbered = placed.withColumn("chunk", F.floor(F.col("position") / rows))
+    dense_cells = min(DENSE_CELLS, 8 * CHUNK_CELLS)
 
+    def pack(key, local):
+        import numpy as np
+        import pandas as pd
 
-def _kernel(chunk, item: str, user: str, cosine: bool, n: int, summary: bool):
-    """The per-partition scorer; nested so that it is shipped to the workers by value."""
+        lengths = local["dims"].map(len).to_numpy()
+        flat = np.concatenate(local["dims"].to_list()) if lengths.sum() else np.array([])
+        weights = np.concatenate(local["vals"].to_list()) if lengths.sum() else np.array([])
+        vocabulary, codes = np.unique(flat, return_inverse=True)
+        row = np.repeat(np.arange(len(local)), lengths)
+        columns = values = dense = None
+        if len(vocabulary) * len(local) <= dense_cells:
+            dense = np.zeros((len(vocabulary), len(local)))
+            dense[codes, row] = weights
+        else:
+            width = int(lengths.max())
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            columns = np.full((len(local), width), len(vocabulary))  # the padding column stays zero
+            values = np.zeros((len(local), width))
+            columns[row, place] = codes
+            values[row, place] = weights
+        norms = local["norm"].to_numpy(dtype="float64")
+        sent = {"ids": local[item].to_numpy(), "vocabulary": vocabulary, "columns": columns, "values": values, "norms": norms, "dense": dense}
+        return pd.DataFrame({"chunk": [key[0]], "top": [norms.max()], "payload": [pickle.dumps(sent, 5)]})
+
+    return materialize(numbered.groupBy("chunk").applyInPandas(pack, "chunk BIGINT, top DOUBLE, payload BINARY"), "chunks")
+
+
+def _kernel(item: str, user: str, cosine: bool, n: int, summary: bool):
+    """Scores the users of a task with one chunk after the other; nested so that it is shipped to the workers by value."""
     decimals = SCORE_DECIMALS
 
-    def score(batches: Iterator) -> Iterator:
+    def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pandas as pd
 
-        data = chunk.value
-        ids, vocabulary = data["ids"], pd.Index(data["vocabulary"])
-        columns, values, norms = data["columns"], data["values"], data["norms"]
-        rows_at_once = max(1, 4_000_000 // max(len(ids), len(vocabulary), 1))
-        for batch in batches:
-            for start in range(0, len(batch), rows_at_once):
-                block = batch.iloc[start : start + rows_at_once]
+        class Task:
+            def __init__(self):
+                self.parts, self.users = [], None
+
+            def ready(self):
+                self.users = pd.concat(self.parts, ignore_index=True)
+                self.norms = self.users["norm"].to_numpy(dtype="float64")
+                count = len(self.users)
+                self.read = np.zeros(count, dtype="int64")
+                if summary:
+                    self.items, self.best, self.total = 0, np.full(count, -np.inf), np.zeros(count)
+                    return
+                self.keep = self.users["seen"].to_numpy(dtype="int64") + n
+                self.floor = np.full(count, -np.inf)  # score of the last row of a full list
+                self.ids, self.scores = [None] * count, [np.zeros(0)] * count
+
+            def scores_of(self, rows, data, vocabulary):
+                block = self.users.iloc[rows]
                 lengths = block["dims"].map(len).to_numpy()
-                users = np.repeat(np.arange(len(block)), lengths)
+                at_user = np.repeat(np.arange(len(block)), lengths)
                 flat = np.concatenate(block["dims"].to_list()) if lengths.sum() else np.array([])
                 weights = np.concatenate(block["vals"].to_list()) if lengths.sum() else np.array([])
                 at = vocabulary.get_indexer(flat)
                 known = at >= 0
-                dense = np.zeros((len(block), len(vocabulary) + 1))
-                dense[users[known], at[known]] = weights[known]
+                full = np.zeros((len(block), len(vocabulary) + 1))
+                full[at_user[known], at[known]] = weights[known]
                 if data["dense"] is not None:
-                    scores = dense[:, :-1] @ data["dense"]
+                    scores = full[:, :-1] @ data["dense"]
                 else:
-                    scores = np.zeros((len(block), len(ids)))
-                    for j in range(columns.shape[1]):
-                        scores += dense[:, columns[:, j]] * values[:, j]
+                    scores = np.zeros((len(block), len(data["ids"])))
+                    for j in range(data["columns"].shape[1]):
+                        scores += full[:, data["columns"][:, j]] * data["values"][:, j]
                 if cosine:
-                    scale = block["norm"].to_numpy()[:, None] * norms[None, :]
+                    scale = self.norms[rows][:, None] * data["norms"][None, :]
                     scores = np.divide(scores, scale, out=np.zeros_like(scores), where=scale > 0)
-                scores = np.round(scores, decimals)
-                if summary:
-                    yield pd.DataFrame(
-                        {
-                            user: block[user].to_numpy(),
-                            "n_items": np.full(len(block), len(ids), dtype="int64"),
-                            "best_score": scores.max(axis=1),
-                            "total_score": scores.sum(axis=1),
-                        }
-                    )
-                    continue
-                keep = np.minimum(block["seen"].to_numpy() + n, len(ids))
-                out_users, out_items, out_scores = [], [], []
-                for i, (uid, k) in enumerate(zip(block[user].to_numpy(), keep)):
-                    row = scores[i]
-                    if k < len(ids):
-                        floor = np.partition(row, len(ids) - k)[len(ids) - k]
-                        candidates = np.flatnonzero(row >= floor)
-                    else:
-                        candidates = np.arange(len(ids))
-                    # ids ascend, so a stable sort leaves ties in id order
-                    best = candidates[np.argsort(-row[candidates], kind="stable")[:k]]
-                    out_users.append(np.repeat(uid, len(best)))
-                    out_items.append(ids[best])
-                    out_scores.append(row[best])
-                yield pd.DataFrame(
-                    {
-                        user: np.concatenate(out_users),
-                        item: np.concatenate(out_items),
-                        "score": np.concatenate(out_scores),
-                    }
-                )
-
-    return score
-
-
-def _send_chunk(items: DataFrame, item: str):
-    """Broadcast one chunk as column arrays. Its size was bounded by ``_chunks``."""
-    import numpy as np
-
-    local = items.select(item, "dims", "vals", "norm").toArrow().to_pandas().sort_values(item)
-    if local.empty:
-        return None
-    lengths = local["dims"].map(len).to_numpy()
-    flat = np.concatenate(local["dims"].to_list()) if lengths.sum() else np.array([])
-    weights = np.concatenate(local["vals"].to_list()) if lengths.sum() else np.array([])
-    vocabulary, codes = np.unique(flat, return_inverse=True)
-    width = int(lengths.max())
-    row = np.repeat(np.arange(len(local)), lengths)
-    columns = values = dense = None
-    if len(vocabulary) * len(local) <= 2 * CHUNK_CELLS:
-        dense = np.zeros((len(vocabulary), len(local)))
-        dense[codes, row] = weights
-    else:
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        columns = np.full((len(local), width), len(vocabulary))  # the padding column stays zero
-        values = np.zeros((len(local), width))
-        columns[row, place] = codes
-        values[row, place] = weights
-    return items.sparkSession.sparkContext.broadcast(
-        {
-            "ids": local[item].to_numpy(),
-            "vocabulary": vocabulary,
-            "columns": columns,
-            "values": values,
-            "norms": local["norm"].to_numpy(dtype="float64"),
-            "dense": dense,
-        }
-    )
+                return np.round(scores, decimals)
 
-
-def _score_chunks(users, items, user, item, cosine, n, summary, schema, chunk_cells):
+            def score(self, data, top):
+                if self.users is None:
+                    self.ready()
+                vocabulary, ids = pd.Index(data["vocabulary"]), data["ids"]
+                if summary:
+                    rows = np.arange(len(self.users))
+                    self.items += len(ids)
+                else:
+                    bound = np.ones(len(self.users)) if cosine else self.norms * top
+                    # rounding may lift a score a little above the bound
+                    rows = np.flatnonzero(bound + 10.0**-decimals * (1 + np.abs(bound)) >= self.floor)
+                self.read[rows] += 1
+                at_once = max(1, 4_000_000 // max(len(ids), len(vocabulary), 1))
+                for start in range(0, len(rows), at_once):
+                    part = rows[start : start + at_once]
+                    scores = self.scores_of(part, data, vocabulary)
+                    if summary:
+                        self.best[part] = np.maximum(self.best[part], scores.max(axis=1))
+                        self.total[part] += scores.sum(axis=1)
+                        continue
+                    good = scores >= self.floor[part][:, None]
+                    for u, row, mask in zip(part[good.any(axis=1)], scores[good.any(axis=1)], good[good.any(axis=1)]):
+                        k = self.keep[u]
+                        here = np.flatnonzero(mask)
+                        if len(here) > k:
+                            least = np.partition(row[here], len(here) - k)[len(here) - k]
+                            here = here[row[here] >= least]
+                        own = ids[here] if self.ids[u] is None else np.concatenate([self.ids[u], ids[here]])
+                        both = np.concatenate([self.scores[u], row[here]])
+                        order = np.lexsort((own, -both))[:k]
+                        self.ids[u], self.scores[u] = own[order], both[order]
+                        if len(order) == k:
+                            self.floor[u] = both[order[-1]]
+
+            def finish(self):
+                if self.users is None:  # no chunk, no item
+                    return
+                names = self.users[user].to_numpy()
+                if summary:
+                    yield pd.DataFrame({user: names, "n_items": self.items, "best_score": self.best, "total_score": self.total})
+                    return
+                for start in range(0, len(names), 1000):
+                    some = [u for u in range(start, min(start + 1000, len(names))) if self.ids[u] is not None]
+                    if some:
+                        counts = [len(self.ids[u]) for u in some]
+                        yield pd.DataFrame(
+                            {
+                                user: np.repeat(names[some], counts),
+                                item: np.concatenate([self.ids[u] for u in some]),
+                                "score": np.concatenate([self.scores[u] for u in some]),
+                                "chunks_read": np.repeat(self.read[some], counts),
+                            }
+                        )
+
+        number, task = None, None
+        for batch in batches:
+            for at, rows in batch.groupby("_task", sort=False):
+                if at != number:
+                    if task:
+                        yield from task.finish()
+                    number, task = at, Task()
+                mine = rows[rows["chunk"] < 0]
+                if len(mine):
+                    task.parts.append(mine[[user, "dims", "vals", "norm", "seen"]])
+                for top, payload in rows.loc[rows["chunk"] >= 0, ["top", "payload"]].itertuples(index=False):
+                    task.score(pickle.loads(payload), top)
+        if task:
+            yield from task.finish()
+
+    return run
+
+
+def _score(users: DataFrame, items: DataFrame, user: str, item: str, cosine: bool, n: int, summary: bool, schema: str, chunk_cells: int) -> DataFrame:
     chunks = _chunks(items, item, chunk_cells)
-    users = users.repartition(python_partitions(users.sparkSession), user)
-    if len(chunks) > 1:
-        users = materialize(users, "users")
-    scored = None
-    for chunk in chunks:
-        sent = _send_chunk(chunk, item)
-        if sent is None:
-            continue
-        part = users.mapInPandas(_kernel(sent, item, user, cosine, n, summary), schema)
-        if len(chunks) > 1:
-            part = materialize(part, "scores")
-            sent.destroy()
-        scored = part if scored is None else scored.unionByName(part)
-    return scored if scored is not None else users.sparkSession.createDataFrame([], schema)
+    tasks = python_partitions(users.sparkSession, users.count(), TASK_USERS)
+    own = users.select(F.pmod(F.xxhash64(user), F.lit(tasks)).alias("_task"), F.lit(-1).cast("bigint").alias("chunk"), user, "dims", "vals", "norm", "seen")
+    # a chunk only goes where there are users
+    asked = own.select("_task").distinct().agg(F.collect_set("_task").alias("_tasks"))
+    sent = chunks.withColumn("_task", F.explode(asked.scalar()))
+    both = own.unionByName(sent, allowMissingColumns=True).repartition(tasks, "_task").sortWithinPartitions("_task", "chunk")
+    return both.mapInPandas(_kernel(item, user, cosine, n, summary), schema)
 
 
 def _types(users: DataFrame, user: str, items: DataFrame, item: str) -> tuple[str, str]:
@@ -176,19 +214,22 @@ def recommend(
     item: str = "product_id",
     cosine: bool = False,
     chunk_cells: int = CHUNK_CELLS,
+    with_chunks: bool = False,
 ) -> DataFrame:
     """(user, item, score, rank) of the best ``n`` unseen items of every user.
 
     ``users`` and ``items`` are packed vectors, ``seen`` distinct (user, item) pairs.
+    ``with_chunks`` adds ``chunks_read``, the number of item chunks that the user was scored with.
     """
     known = seen.join(items.select(item), item, "left_semi")
     counts = known.groupBy(user).agg(F.count(F.lit(1)).alias("seen"))
-    ready = users.join(counts, user, "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
+    ready = materialize(users.join(counts, user, "left").withColumn("seen", F.coalesce("seen", F.lit(0))), "users")
     user_type, item_type = _types(users, user, items, item)
-    schema = f"`{user}` {user_type}, `{item}` {item_type}, score DOUBLE"
-    best = _score_chunks(ready, items, user, item, cosine, n, False, schema, chunk_cells)
+    schema = f"`{user}` {user_type}, `{item}` {item_type}, score DOUBLE, chunks_read BIGINT"
+    best = _score(ready, items, user, item, cosine, n, False, schema, chunk_cells)
     unseen = best.join(known, [user, item], "left_anti")
-    return top_n_per_key(unseen, user, "score", item, n)
+    ranked = top_n_per_key(unseen, user, "score", item, n)
+    return ranked if with_chunks else ranked.drop("chunks_read")
 
 
 def score_summary(
@@ -202,9 +243,6 @@ def score_summary(
     """Per user over all items: how many were scored, the best and the mean score."""
     user_type, _ = _types(users, user, items, item)
     schema = f"`{user}` {user_type}, n_items BIGINT, best_score DOUBLE, total_score DOUBLE"
-    parts = _score_chunks(users, items, user, item, cosine, 0, True, schema, chunk_cells)
-    return parts.groupBy(user).agg(
-        F.sum("n_items").alias("n_items"),
-        F.max("best_score").alias("best_score"),
-        (F.sum("total_score") / F.sum("n_items")).alias("mean_score"),
-    )
+    ready = materialize(users.withColumn("seen", F.lit(0)), "users")
+    parts = _score(ready, items, user, item, cosine, 0, True, schema, chunk_cells)
+    return parts.select(user, "n_items", "best_score", (F.col("total_score") / F.col("n_items")).alias("mean_score"))

@@ -41,24 +41,27 @@ def curate_interactions(raw: DataFrame) -> DataFrame:
     return df
 
 
-def curate_profiles(raw: DataFrame) -> DataFrame:
-    """Unique profiles with tier flags and median-filled, scaled age."""
+def curate_profiles(raw: DataFrame, wide_one_hot: bool = False) -> DataFrame:
+    """Unique profiles with tier flags and median-filled, scaled age.
+
+    Flags are one array of names (``tier_hot``), or with ``wide_one_hot`` a column per tier.
+    """
     keyed = C.drop_null_keys(raw, "user_id")
     df = C.tolerant_ids(keyed.dropDuplicates(), "user_id")
     if "tier" in df.columns:
-        df = M.one_hot(df, "tier", "tier", M.distinct_values(keyed, "tier"))
+        df = M.one_hot(df, "tier", "tier", M.distinct_values(keyed, "tier")) if wide_one_hot else M.one_hot_sparse(df, "tier", "tier")
     if "age" in df.columns:
         df = M.impute_medians(df, "age")
         df = M.min_max_scale(df, {"age": "age_scaled"}, fit_on=keyed)
     return df
 
 
-def curate_catalog(raw: DataFrame, wide_one_hot: bool = True) -> DataFrame:
-    """Unique products with filled and scaled numbers and one-hot category columns.
+def curate_catalog(raw: DataFrame, wide_one_hot: bool = False) -> DataFrame:
+    """Unique products with filled and scaled numbers and one-hot categories.
 
-    The raw text columns stay, and nothing downstream needs the one-hot columns:
-    pass ``wide_one_hot=False`` when a column has too many values to be spread
-    over columns (``one_hot_long`` holds the same information as rows).
+    The raw text columns stay. Categories are arrays of names (``cat_hot``, ``subcat_hot``),
+    so there may be any number of them; ``wide_one_hot`` makes a column per value instead,
+    of which there may be a bounded number.
     """
     keyed = C.drop_null_keys(raw, "product_id")
     df = C.tolerant_ids(keyed.dropDuplicates(), "product_id", "category_id", "subcategory_id")
@@ -67,6 +70,10 @@ def curate_catalog(raw: DataFrame, wide_one_hot: bool = True) -> DataFrame:
         for column, prefix in (("category", "cat"), ("subcategory", "subcat")):
             if column in values:
                 df = M.one_hot(df, column, prefix, values[column])
+    else:
+        for column, prefix in (("category", "cat"), ("subcategory", "subcat")):
+            if column in df.columns:
+                df = M.one_hot_sparse(df, column, prefix)
     zeros = {"stock_quantity": 0, "rating_count": 0}
     df = C.fill_defaults(df, zeros)
     outputs = {}
@@ -98,14 +105,14 @@ def merge_curated(
     return J.left_join(df, W.one_per_key(catalog, "product_id"), "product_id", "_catalog")
 
 
-def curate(interactions: DataFrame, profiles: DataFrame, catalog: DataFrame, **options) -> DataFrame:
+def curate(interactions: DataFrame, profiles: DataFrame, catalog: DataFrame, wide_one_hot: bool = False) -> DataFrame:
     """The curated dataset. Empty interactions or an empty catalog stop the job."""
     if interactions.isEmpty():
         raise RuntimeError("interactions are missing or empty")
     if catalog.isEmpty():
         raise RuntimeError("the catalog is missing or empty")
-    known = None if profiles.isEmpty() else curate_profiles(profiles)
-    return merge_curated(curate_interactions(interactions), known, curate_catalog(catalog, **options))
+    known = None if profiles.isEmpty() else curate_profiles(profiles, wide_one_hot)
+    return merge_curated(curate_interactions(interactions), known, curate_catalog(catalog, wide_one_hot))
 
 
 def lineage_record(

@@ -32,15 +32,16 @@ def eda_interactions(raw: DataFrame) -> DataFrame:
     )
 
 
-def eda_profiles(raw: DataFrame) -> DataFrame:
+def eda_profiles(raw: DataFrame, wide_one_hot: bool = False) -> DataFrame:
     """Tier becomes flags and is dropped; age is scaled with its nulls kept."""
     keyed = C.drop_null_keys(raw, "user_id")
     df = C.tolerant_ids(keyed.dropDuplicates(), "user_id")
-    df = M.one_hot(df, "tier", "tier", M.distinct_values(keyed, "tier")).drop("tier")
+    flagged = M.one_hot(df, "tier", "tier", M.distinct_values(keyed, "tier")) if wide_one_hot else M.one_hot_sparse(df, "tier", "tier")
+    df = flagged.drop("tier")
     return M.min_max_scale(df, {"age": "age_scaled"}, fit_on=keyed)
 
 
-def eda_catalog(raw: DataFrame, wide_one_hot: bool = True) -> DataFrame:
+def eda_catalog(raw: DataFrame, wide_one_hot: bool = False) -> DataFrame:
     """Scaled catalog; only stock is zero-filled, and only for scaling."""
     keyed = C.drop_null_keys(raw, "product_id")
     df = C.tolerant_ids(keyed.dropDuplicates(), "product_id")
@@ -48,6 +49,9 @@ def eda_catalog(raw: DataFrame, wide_one_hot: bool = True) -> DataFrame:
         values = M.distinct_values_of(keyed, ["category", "subcategory"])
         for column, prefix in (("category", "cat"), ("subcategory", "subcat")):
             df = M.one_hot(df, column, prefix, values[column])
+    else:
+        for column, prefix in (("category", "cat"), ("subcategory", "subcat")):
+            df = M.one_hot_sparse(df, column, prefix)
     stock = F.coalesce(F.col("stock_quantity"), F.lit(0))
     df = M.min_max_scale(
         df.withColumn("_stock", stock),
@@ -65,8 +69,8 @@ def integrate(interactions: DataFrame, profiles: DataFrame, catalog: DataFrame)
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in numeric})
 
 
-def eda_dataset(interactions: DataFrame, profiles: DataFrame, catalog: DataFrame, **options) -> DataFrame:
-    return integrate(eda_interactions(interactions), eda_profiles(profiles), eda_catalog(catalog, **options))
+def eda_dataset(interactions: DataFrame, profiles: DataFrame, catalog: DataFrame, wide_one_hot: bool = False) -> DataFrame:
+    return integrate(eda_interactions(interactions), eda_profiles(profiles, wide_one_hot), eda_catalog(catalog, wide_one_hot))
 
 
 def top_products(interactions: DataFrame, catalog: DataFrame, k: int = 10) -> DataFrame:

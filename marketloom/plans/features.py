@@ -11,11 +11,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.functions import scalars as S
 from marketloom.operators import aggregates as A
 from marketloom.operators import cleaning as C
 from marketloom.operators import windows as W
+from marketloom.session import materialize
 from marketloom.schemas import (
     FEATURE_EPOCH,
     INTERACTION_FEATURES,
@@ -45,7 +47,7 @@ def stamp(as_of: str | datetime | Column) -> Column:
 
 
 def _hot_columns(df: DataFrame, prefix: str) -> list[str]:
-    return [c for c in df.columns if c.startswith(prefix)]
+    return [f.name for f in df.schema if f.name.startswith(prefix) and isinstance(f.dataType, T.NumericType)]
 
 
 # --- users ----------------------------------------------------------------
@@ -194,10 +196,6 @@ def product_aggregates(df: DataFrame) -> DataFrame:
     return measured
 
 
-def _product_counts(df: DataFrame) -> DataFrame:
-    return A.count_by_key(df, "product_id").withColumnRenamed("n", "interaction_count")
-
-
 def finish_products(df: DataFrame, counts: DataFrame) -> DataFrame:
     """Derived scores and the fixed column list; popularity is relative to the largest of ``counts``."""
     derived = W.share_of_max(df, "interaction_count", "popularity_score", counts).withColumns(
@@ -210,7 +208,9 @@ def finish_products(df: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def product_features(df: DataFrame, as_of=FEATURE_EPOCH) -> DataFrame:
-    return finish_products(C.with_audit(product_aggregates(df), stamp(as_of)), _product_counts(df))
+    # one row per product, written once: the largest count is read from it and not from the interactions again
+    products = materialize(product_aggregates(df), "products")
+    return finish_products(C.with_audit(products, stamp(as_of)), products)
 
 
 # fixed values: how a column of two batches is merged
@@ -229,14 +229,8 @@ def update_products(previous: DataFrame, batch: DataFrame, as_of=FEATURE_EPOCH)
         "purchases", F.round(F.col("conversion_rate") * F.col("interaction_count")).cast("bigint")
     )
     fresh = C.with_audit(product_aggregates(batch), stamp(as_of))
-    merged = A.rule_aggregate(_in_order(restored, fresh), "product_id", PRODUCT_RULES, "_seq")
-    counts = (
-        previous.select("product_id", "interaction_count")
-        .unionByName(_product_counts(batch))
-        .groupBy("product_id")
-        .agg(F.sum("interaction_count").alias("interaction_count"))
-    )
-    return finish_products(merged.withColumn("updated_at", stamp(as_of)), counts)
+    merged = materialize(A.rule_aggregate(_in_order(restored, fresh), "product_id", PRODUCT_RULES, "_seq"), "products")
+    return finish_products(merged.withColumn("updated_at", stamp(as_of)), merged)
 
 
 # --- interactions ---------------------------------------------------------

@@ -71,14 +71,14 @@ def load_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def curate_job(spark: SparkSession, root: str, created_at: str | None = None, **options) -> str:
     """Curate the newest raw partitions into ``event_date=`` and record the lineage.
 
-    Categories stay as text and are written once more as (product, category) rows: columns
-    per category would limit how many there may be. ``wide_one_hot=True`` asks for them.
+    Categories stay as text and as arrays of names, and are written once more as (product,
+    category) rows: columns per category would limit how many there may be.
+    ``wide_one_hot=True`` asks for them.
     """
     created_at = created_at or now()
     raw = load_raw(spark, root)
     days = {n: listing.latest_partition(spark, f"{root}/{p}") for n, p in RAW.items()}
     event_date = days["user_interactions"]
-    options = {"wide_one_hot": False} | options
     named = [c for c in ("category", "subcategory") if c in raw["product_catalog"].columns]
     flags = scaling.one_hot_long(raw["product_catalog"].where("product_id IS NOT NULL").dropDuplicates(), "product_id", *named)
     files.write_date(flags, f"{root}/{CATEGORIES}", event_date, "event_date")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +33,11 @@ def build_session(app: str = "marketloom", master: str | None = None, **conf: st
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Results are defined in UTC whatever zone the caller's session has."""
+    """Results are defined in UTC whatever zone the caller's session has; workers find this package where the driver found it."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (known, root) if p)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 

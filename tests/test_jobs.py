@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marketloom.operators import joins as J
 from marketloom.operators import quality as Q
-from marketloom.plans import curate, feature_state, features, jobs, runs, training
+from marketloom.plans import curate, eda, feature_state, features, jobs, runs, training
 from marketloom.schemas import CATALOG, INTERACTIONS, PROFILES, USER_VIEW
 from marketloom.session import scratch_root
 from marketloom.sources import files, listing, snapshots
@@ -371,12 +371,23 @@ def test_scratch_folder_follows_the_session():
 def test_many_categories_and_unreadable_ids(spark, tmp_path):
     """No width limits a catalog, and unreadable ids do not multiply rows."""
     drop, root = tmp_path / "drop", str(tmp_path / "lake")
-    products = [product(i, category=f"c{i}", subcategory=f"s{i}") for i in range(1, 1501)]
+    products = [product(i, category=f"c{i}", subcategory=f"s{i}") for i in range(1, 5001)]
     write_drop(drop, "20240101", [*DAY1, ("x1", 2, "view", NOON + 1, 1), ("x2", 2, "view", NOON + 2, 1)], PEOPLE, products)
     jobs.data_job(spark, str(drop), str(drop), root)
+    # as many tiers, and the functions by themselves
+    tiers = spark.range(1, 5001).selectExpr("id AS user_id", "30 AS age", "'O' AS location_city", "'N' AS location_country", "concat('t', id) AS tier")
+    raw = jobs.load_raw(spark, root)
+    wide = curate.curate(raw["user_interactions"], tiers, raw["product_catalog"])
+    assert wide.where("user_id = 1 AND product_id = 2").select("cat_hot", "subcat_hot", "tier_hot").first() == (["c2"], ["s2"], ["t1"])
+    explored = eda.eda_dataset(raw["user_interactions"], tiers, raw["product_catalog"])
+    assert explored.where("user_id = 1").first()["tier_hot"] == ["t1"] and len(explored.columns) < 40
+    from marketloom.operators import scaling as M
+
+    numbered = {r["value"]: r["position"] for r in M.one_hot_dictionary(tiers, "tier").collect()}
+    assert numbered == {v: i for i, v in enumerate(sorted(f"t{i}" for i in range(1, 5001)))}
     curated = spark.read.parquet(f"{root}/{jobs.CURATED}")
-    assert "category" in curated.columns and not [c for c in curated.columns if c.startswith("cat_")]
-    assert spark.read.parquet(f"{root}/{jobs.CATEGORIES}/event_date=20240101").where("dim LIKE 'category=%'").count() == 1500
+    assert "category" in curated.columns and [c for c in curated.columns if c.startswith("cat_")] == ["cat_hot"]
+    assert spark.read.parquet(f"{root}/{jobs.CATEGORIES}/event_date=20240101").where("dim LIKE 'category=%'").count() == 5000
     people = spark.createDataFrame([(i, 30 + i) for i in range(4)] + [(0, 99)] * 3, "user_id BIGINT, age BIGINT")
     events = spark.createDataFrame([(0, 1, "view", NOON, 1.0)] * 2 + [(2, 1, "view", NOON, 1.0)], INTERACTIONS)
     goods = spark.createDataFrame([(1, "a"), (1, "b")], "product_id BIGINT, category STRING")

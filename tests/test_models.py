@@ -216,3 +216,29 @@ def test_split_is_repeatable_and_near_the_share(spark):
     train, test = evaluate.split(df, "user_id", "product_id")
     n = test.count()
     assert n + train.count() == 20_000 and abs(n / 20_000 - 0.3) < 0.02
+
+
+def test_chunks_are_pruned_and_read_in_one_job(spark, rows):
+    """Items of falling length: equal results for one chunk and for forty, and far fewer chunks than pairs."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(400, 6)) * (0.97 ** np.arange(400))[:, None]
+    u = rng.normal(size=(30, 6))
+    packed = lambda x, key: rows(f"{key} BIGINT, dims ARRAY<INT>, vals ARRAY<DOUBLE>, norm DOUBLE", *[(i, list(range(6)), [float(a) for a in r], float(np.linalg.norm(r))) for i, r in enumerate(x)])
+    users, items = packed(u, "user_id"), packed(v, "product_id")
+    seen = rows("user_id BIGINT, product_id BIGINT", *[(i, j) for i in range(30) for j in range(i % 5)])
+    found, jobs = {}, {}
+    for name, cells in (("one", 10_000), ("forty", 60)):
+        recs = scoring.recommend(users, items, seen, 5, chunk_cells=cells, with_chunks=True)
+        group = f"scoring-{name}"
+        spark.sparkContext.setJobGroup(group, name)
+        found[name] = recs.collect()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    plain = lambda rs: sorted((r["user_id"], r["rank"], r["product_id"], r["score"]) for r in rs)
+    assert plain(found["one"]) == plain(found["forty"]) and jobs["one"] == jobs["forty"]
+    assert {r["chunks_read"] for r in found["one"]} == {1}
+    read = {r["user_id"]: r["chunks_read"] for r in found["forty"]}
+    assert len(read) == 30 and max(read.values()) < 40 and sum(read.values()) < 0.5 * 30 * 40
+    for i in range(30):
+        best = sorted((j for j in range(i % 5, 400)), key=lambda j: (-round(float(u[i] @ v[j]), 9), j))[:5]
+        assert [r["product_id"] for r in sorted(found["forty"], key=lambda r: r["rank"]) if r["user_id"] == i] == best

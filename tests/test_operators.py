@@ -38,16 +38,25 @@ def test_tolerant_cast(rows):
     assert {r["t"] for r in C.tolerant_ids(big, "t").collect()} == {2**53 + 1, 0}
 
 
-@pytest.mark.parametrize("tail_rows", [2, 3, 1_000_000])
-def test_exact_median(rows, tail_rows):
+@pytest.mark.parametrize("partitions", [1, 13])
+def test_exact_median(rows, spark, partitions):
     rng = random.Random(7)
     wide = [rng.randint(-50, 50) / 4 for _ in range(400)] + [3.25] * 200
-    for data in ([1, 2, 3, 4, None], [5.0], [1, 1, 1, 9], wide):
+    names = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    columns = {"a": [1, 2, 3, 4, None], "b": [5.0], "c": [1, 1, 1, 9], "d": wide, "e": [1, 2], "f": [], "a.b": [-7, 8, 100]}
+    expected = {}
+    for name, data in columns.items():
         known = sorted(v for v in data if v is not None)
         mid = len(known) // 2
-        expected = known[mid] if len(known) % 2 else (known[mid - 1] + known[mid]) / 2
-        df = rows("v DOUBLE", *[(None if v is None else float(v),) for v in data])
-        assert M.exact_medians(df, ["v"], tail_rows)["v"] == expected
+        expected[name] = None if not known else known[mid] if len(known) % 2 else (known[mid - 1] + known[mid]) / 2
+    long = [tuple(float(data[i]) if i < len(data) and data[i] is not None else None for data in columns.values()) for i in range(600)]
+    df = rows(", ".join(f"`{c}` DOUBLE" for c in columns), *long)
+    assert M.exact_medians(df, list(columns)) == expected
+    for n, v in before.items():
+        spark.conf.set(n, v)
     empty = rows("v DOUBLE", (None,))
     assert M.exact_medians(empty, ["v"])["v"] is None
 
