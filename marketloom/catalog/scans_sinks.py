@@ -12,7 +12,7 @@ from marketloom.catalog.stages import history, new_batch, split, stage
 from marketloom.operators import quality as Q
 from marketloom.plans import curate, evaluate, features, runs
 from marketloom.schemas import CATALOG, INTERACTIONS, PRODUCT_FEATURES, USER_FEATURES
-from marketloom.session import scratch_path
+from marketloom.session import materialize, scratch_path
 from marketloom.sources import files, listing, snapshots
 
 RAW_ROWS = f"SELECT user_id, product_id, event_type, timestamp, {r6('duration_seconds', 'duration_seconds')}"
@@ -65,25 +65,28 @@ def scan_csv_fallback(spark, sf):
     return files.read_partition(spark, root, schema=INTERACTIONS)
 
 
+def write_document(products, path, envelope):
+    """One JSON document with all products, as one file: lines in order, written by one task as they come."""
+    rows = materialize(products.withColumn("_at", F.monotonically_increasing_id()), "document")
+    first, n = rows.agg(F.min("_at")).scalar(), rows.agg(F.count("*").cast("string")).scalar()
+    text = F.to_json(F.struct(*products.columns))
+    body = rows.select("_at", F.when(F.col("_at") == first, text).otherwise(F.concat(F.lit(","), text)).alias("value"))
+    ends = ((-1, F.concat(F.lit('{"count":'), n, F.lit(',"products":[')), F.lit("]}")) if envelope else (-1, F.lit("["), F.lit("]")))
+    one = products.sparkSession.range(1)
+    whole = body.unionByName(one.select(F.lit(ends[0]).cast("bigint").alias("_at"), ends[1].alias("value")))
+    whole = whole.unionByName(one.select(F.lit(2**63 - 1).alias("_at"), ends[2].alias("value")))
+    whole.coalesce(1).sortWithinPartitions("_at").select("value").write.text(path)
+
+
 @register("scan_json_envelope", with_(CATALOG_ROWS, "raw_catalog"))
 def scan_json_envelope(spark, sf):
-    """Documents of at most 500 products: even ones are envelopes, odd ones bare lists."""
+    """Two documents, however large: even products in an envelope, the others in a bare list."""
     path = scratch_path(spark, "catalog")
     products = X.raw_catalog(spark, sf)
-    documents = (
-        products.select(F.floor(F.col("product_id") / 500).alias("doc"), F.struct(*products.columns).alias("p"))
-        .groupBy("doc")
-        .agg(F.collect_list("p").alias("products"))
-        .withColumn(
-            "text",
-            F.when(
-                F.col("doc") % 2 == 0,
-                F.to_json(F.struct(F.size("products").cast("bigint").alias("count"), "products")),
-            ).otherwise(F.to_json("products")),
-        )
-    )
-    documents.select("doc", "text").write.partitionBy("doc").text(path)
-    return files.read_catalog_json(spark, f"{path}/doc=*", CATALOG)
+    even = F.coalesce(F.col("product_id") % 2 == 0, F.lit(False))
+    write_document(products.where(even), f"{path}/a", True)
+    write_document(products.where(~even), f"{path}/b", False)
+    return files.read_catalog_json(spark, f"{path}/*", CATALOG)
 
 
 @register(

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.functions.scalars import before_underscore
 from marketloom.operators.cleaning import flatten_structs
 from marketloom.schemas import CATALOG, CATALOG_ENVELOPE
+from marketloom.session import materialize
 from marketloom.sources import listing
 
 
@@ -104,14 +105,13 @@ def read_catalog_json(
 ) -> DataFrame:
     """Products from documents that are either ``{count, products: [...]}`` or a bare list.
 
-    By default a file is one document, which only one task can read. ``lines=True``
-    reads one document (or one product) per line, as ``write_catalog_json`` lands
-    them, and splits large files.
-
-    A bare list yields one record per product, an envelope one record per file.
-    Unreadable files become corrupt records and are left out. Nested objects are
-    flattened to dotted names.
+    A document may be of any size: its bytes are split among tasks (see ``_product_texts``).
+    ``lines=True`` reads one document (or one product) per line, as ``write_catalog_json``
+    lands them. Unreadable documents are left out. Nested objects are flattened to dotted names.
     """
+    if not lines:
+        found = _product_texts(spark, path).select(F.from_json("text", product).alias("p")).where("p IS NOT NULL")
+        return flatten_structs(found.select("p.*"))
     corrupt = "_corrupt"
     envelope = T.StructType(
         [
@@ -123,7 +123,6 @@ def read_catalog_json(
     )
     records = (
         spark.read.schema(envelope)
-        .option("multiLine", not lines)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", corrupt)
         .json(path)
@@ -134,6 +133,60 @@ def read_catalog_json(
     return flatten_structs(items.select("p.*"))
 
 
+def _product_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, text) of the objects in the product array of each JSON document.
+
+    Documents are read as pieces that end at a closing brace, which Spark splits by bytes.
+    Where a product ends follows from the nesting depth, and that from all pieces before:
+    every piece tells how many quotes it has and how it changes the depth, once for a start
+    inside a string and once outside. Both add up along a split, and the sums of the splits,
+    one row each, along the document. So no task reads more than its split.
+    """
+    read = spark.read.option("lineSep", "}").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    plain = F.regexp_replace("value", r"\\.", "")
+
+    def depth(text: Column) -> Column:
+        """Change of depth outside strings; the brace at the end counts unless a string is open there."""
+        outside = F.regexp_replace(text, r'"[^"]*("|$)', "")
+        closes = F.when(F.regexp_count(text, F.lit('"')) % 2 == 0, 1).otherwise(0)
+        return F.regexp_count(outside, F.lit(r"[{\[]")) - F.regexp_count(outside, F.lit(r"[}\]]")) - closes
+
+    facts = {"quotes": F.regexp_count(plain, F.lit('"')), "d0": depth(plain), "d1": depth(F.concat(F.lit('"'), plain))}
+    pieces = materialize(read.withColumns(facts).withColumn("mid", F.monotonically_increasing_id()), "pieces")
+    # along a split, for both states that it may start in
+    along = Window.partitionBy("file", "start").orderBy("mid")
+    open_at = F.coalesce(F.sum("quotes").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    pieces = pieces.withColumn("odd", open_at)
+    for s in (0, 1):
+        pieces = pieces.withColumn(f"c{s}", F.sum(F.when(F.col("odd") == s, F.col("d0")).otherwise(F.col("d1"))).over(along))
+    # one row per split of a document
+    splits = pieces.groupBy("file", "start").agg(F.sum("quotes").alias("quotes"), F.max_by("c0", "mid").alias("c0"), F.max_by("c1", "mid").alias("c1"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("odd_at", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    own = F.when(F.col("odd_at") == 0, F.col("c0")).otherwise(F.col("c1"))
+    splits = splits.withColumn("depth_at", F.coalesce(F.sum(own).over(before), F.lit(0))).select("file", "start", "odd_at", "depth_at")
+    level = F.col("depth_at") + F.when(F.col("odd_at") == 0, F.col("c0")).otherwise(F.col("c1"))
+    placed = pieces.join(splits, ["file", "start"]).select("file", "start", "mid", "value", level.alias("depth"), (F.col("odd") + F.col("odd_at") + F.col("quotes")).alias("odd_after"))
+    documents = placed.groupBy("file").agg(
+        F.min_by(F.ltrim("value").substr(1, 1), F.struct("start", "mid")).alias("first"), F.max_by(F.struct("depth", "value", "odd_after"), F.struct("start", "mid")).alias("last")
+    )
+    ended = (F.col("last.depth") == 0) | ((F.col("last.depth") == -1) & F.col("last.value").rlike(r"^[\s\]]*$"))
+    documents = documents.where(ended & (F.col("last.odd_after") % 2 == 0)).select("file", F.when(F.col("first") == "[", 1).otherwise(2).alias("base"))
+    known = materialize(placed.join(documents, "file"), "placed")
+    done = (F.col("depth") == F.col("base")) & (F.col("odd_after") % 2 == 0)
+    ends = known.withColumn("ends", F.sum(done.cast("int")).over(along) - done.cast("int"))
+    counts = known.groupBy("file", "start").agg(F.sum(done.cast("int")).alias("n"))
+    counts = counts.select("file", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    numbered = ends.join(counts, ["file", "start"]).withColumn("number", F.col("before") + F.col("ends"))
+    # the pieces of one product
+    text = F.concat_ws("}", F.transform(F.array_sort(F.collect_list(F.struct("start", "mid", "value"))), lambda x: x["value"]), F.lit(""))
+    texts = numbered.groupBy("file", "number").agg(text.alias("text"), F.max(done.cast("int")).alias("whole"))
+    body = F.when(F.col("number") == 0, F.regexp_replace("text", r'(?s)^\s*(\[|\{.*?"products"\s*:\s*\[)', "")).otherwise(F.col("text"))
+    texts = texts.withColumn("text", F.regexp_replace(body, r"^[\s,]+", ""))
+    over = texts.where("text LIKE ']%'").groupBy("file").agg(F.min("number").alias("stop"))
+    return texts.join(over, "file", "left").where("whole = 1 AND (stop IS NULL OR number < stop)").select("file", "number", "text")
+
+
 def latest_source_date(files: DataFrame, name: str | Column = "_metadata.file_name") -> DataFrame:
     """Largest date prefix among file names, as one row; by default of the files behind a scan."""
     prefix = before_underscore(F.col(name) if isinstance(name, str) else name)

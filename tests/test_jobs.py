@@ -92,6 +92,27 @@ def test_catalog_documents(spark, tmp_path):
     assert sorted(r["product_id"] for r in got.collect()) == [1, 2, 3]
 
 
+def test_a_large_document_is_read_by_many_tasks(spark, tmp_path):
+    """Braces, quotes, brackets and backslashes in names; splits of a few hundred bytes end anywhere, also in strings."""
+    odd = ["plain", "a } b", 'say "}" {', "end\\", "[{", "}}}", '\\"', "é 日本 }", "", '"', '\\\\"}']
+    products = [product(i, product_name=odd[i % len(odd)]) for i in range(1, 400)]
+    more = {"count": 399, "meta": {"pages": [{"n": 1}, {"n": 2}]}, "products": products, "errors": [{"product_id": -1}]}
+    for name, document, indent in (("a", more, 2), ("b", products, None), ("c", {"count": 399, "products": products}, None)):
+        (tmp_path / f"{name}.json").write_text(json.dumps(document, indent=indent, ensure_ascii=name == "b") + ("\n" if name == "c" else ""))
+    (tmp_path / "empty.json").write_text(json.dumps({"count": 0, "products": []}))
+    (tmp_path / "cut.json").write_text(json.dumps(products)[:-40])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        for name, n in (("a", 399), ("b", 399), ("c", 399), ("empty", 0), ("cut", 0)):
+            df = files.read_catalog_json(spark, str(tmp_path / f"{name}.json"), CATALOG)
+            got = sorted((r["product_id"], r["product_name"], r["price"], r["stock_quantity"]) for r in df.collect())
+            assert got == [(p["product_id"], p["product_name"], p["price"], p["stock_quantity"]) for p in products][:n], name
+        assert spark.read.option("lineSep", "}").text(str(tmp_path / "a.json")).rdd.getNumPartitions() > 50
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_half_written_snapshot_is_ignored(spark, tmp_path):
     root = str(tmp_path / "store")
     snapshots.save_snapshots(spark, root, {"t": spark.range(3)}, {"a": "1"})
