@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import re
 import tempfile
@@ -10,6 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch_paths: list[str] = []
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
 
@@ -56,8 +59,21 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the scratch folder; what is in it goes when the driver's process ends."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _scratch_paths:
+        atexit.register(remove_scratch, spark)
+    _scratch_paths.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all that this process has written below the scratch folder; frames that read it can no longer be used."""
+    while _scratch_paths:
+        # a file system that is gone must not keep the process from ending
+        with contextlib.suppress(Exception):
+            target = spark._jvm.org.apache.hadoop.fs.Path(_scratch_paths.pop())
+            target.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -389,6 +389,20 @@ def test_scratch_folder_follows_the_session():
         scratch_root(FakeSession(spark__master="local-cluster[2,1,1024]"))
 
 
+def test_scratch_copies_go_with_the_process(spark, tmp_path):
+    from marketloom import session
+
+    kept, session._scratch_paths = session._scratch_paths, []
+    try:
+        frame = session.materialize(spark.range(3), "copy")
+        path = session._scratch_paths[0]
+        assert frame.count() == 3 and listing.exists(spark, path)
+        session.remove_scratch(spark)
+        assert not listing.exists(spark, path) and not session._scratch_paths
+    finally:
+        session._scratch_paths = kept
+
+
 def test_many_categories_and_unreadable_ids(spark, tmp_path):
     """No width limits a catalog, and unreadable ids do not multiply rows."""
     drop, root = tmp_path / "drop", str(tmp_path / "lake")
