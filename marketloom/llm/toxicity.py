@@ -11,8 +11,8 @@ text's words, each counted once, goes through a logistic curve. Features come fr
 bounded sample of labelled rows (``sample_rows``, the smallest hashes of the ids). The
 curve is fitted on evidence that either half gets from the features of the other, so that
 chance features do not flatter it. The trigram counts
-have at most 64^3 entries and the feature table at most ``max_features``: bounded
-whatever the corpus. Scores use the text alone.
+have at most 64^3 entries, and features come from a bounded number of rows: all that pass
+the bound are kept. Scores use the text alone.
 
 Defined results: null and empty texts get the curve's value at no evidence; a null id is
 not held out; a document with several labels is toxic if one says so, null labels do not
@@ -40,7 +40,6 @@ from marketloom.llm.common import table, text_or_empty
 SYMBOLS = 64
 OTHER = SYMBOLS - 1
 SAMPLE_ROWS = 20_000
-MAX_FEATURES = 4096
 THRESHOLD = 0.7
 STARTS = (4, 5)
 # least lower bound of a feature's log odds, and the normal quantile of that bound
@@ -272,7 +271,7 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return docs.join(F.broadcast(own), "doc_id").select(text_or_empty().alias("text"), F.col("__toxic").alias("toxic"), F.col("__half").alias("half"))
 
 
-def _feature_counts(sample: DataFrame, restorer: Restorer, max_features: int) -> list[tuple]:
+def _feature_counts(sample: DataFrame, restorer: Restorer) -> list[tuple]:
     """(feature, clean and toxic documents of half 0, of half 1); the row named "" has the numbers of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,11 +297,11 @@ def _feature_counts(sample: DataFrame, restorer: Restorer, max_features: int) ->
     schema = "feature string, " + ", ".join(f"{c} bigint" for c in COUNTS)
     counted = sample.mapInArrow(run, schema).groupBy("feature").agg(*(F.sum(c).alias(c) for c in COUNTS))
     keep = counted.where("feature = '' OR (toxic0 + toxic1 >= 3 AND toxic0 + toxic1 > clean0 + clean1)")
-    rows = keep.orderBy(F.col("feature") != "", F.desc(F.col("toxic0") + F.col("toxic1")), "feature").limit(16 * max_features)
-    return [tuple(r) for r in rows.collect()]
+    # the sample has a bounded number of rows, and a feature is in three toxic ones at least
+    return [tuple(r) for r in keep.orderBy(F.col("feature") != "", "feature").collect()]
 
 
-def _odds(rows: list[tuple[str, int, int]], max_features: int) -> dict[str, float]:
+def _odds(rows: list[tuple[str, int, int]]) -> dict[str, float]:
     """Log odds of the features that are surely signs of a toxic text, from (feature, clean, toxic)."""
     if not rows or rows[0][0] != "" or not rows[0][1] or not rows[0][2]:
         return {}
@@ -310,7 +309,7 @@ def _odds(rows: list[tuple[str, int, int]], max_features: int) -> dict[str, floa
     odds: dict[str, float] = {}
     for name, clean, toxic in rows[1:]:
         value = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
-        if len(odds) < max_features and value - BOUND_SD * math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5)) > LEAST_LOG_ODDS:
+        if value - BOUND_SD * math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5)) > LEAST_LOG_ODDS:
             odds[name] = value
     return odds
 
@@ -327,16 +326,16 @@ def _curve(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Letter model over all documents, classifier over a sample of at most ``sample_rows`` labelled ones."""
     restorer = Restorer(letter_costs({r[0]: r[1] for r in trigram_counts(docs).collect()}))
     sample = _sample(docs, labels, sample_rows)
-    rows = _feature_counts(sample, restorer, max_features)
-    model = Model(restorer, _odds([(n, c0 + c1, t0 + t1) for n, c0, t0, c1, t1 in rows], max_features), 0.0, 1.0)
+    rows = _feature_counts(sample, restorer)
+    model = Model(restorer, _odds([(n, c0 + c1, t0 + t1) for n, c0, t0, c1, t1 in rows]), 0.0, 1.0)
     if not model.weights:
         return model
     # either half is judged by the features of the other
-    of_half = [_odds([(r[0], r[3 - 2 * h], r[4 - 2 * h]) for r in rows], max_features) for h in (0, 1)]
+    of_half = [_odds([(r[0], r[3 - 2 * h], r[4 - 2 * h]) for r in rows]) for h in (0, 1)]
     judged = [sample.where(F.col("half") == h).select(evidence_of(Model(restorer, of_half[h], 0, 1))(F.col("text")).alias("x"), "toxic") for h in (0, 1)]
     pairs = np.array([(r[0], r[1]) for r in judged[0].unionByName(judged[1]).collect()], float).reshape(-1, 2)
     model.bias, model.slope = _curve(pairs[:, 0], pairs[:, 1])
