@@ -85,25 +85,36 @@ def later_runs(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """All columns with ``__kept`` (the text without later repeats), ``__n_lines``, ``__n_removed`` and ``__n_stretches``."""
-    keys = _keys(docs)
-    gone = later_runs(docs).groupBy(F.col("id").alias("__id"), F.col("mark").alias("__mark")).agg(F.collect_list(F.struct("from_line", "to_line")).alias("__gone"))
+    """All columns with ``__kept`` (the text without later repeats), ``__n_lines``, ``__n_removed`` and ``__n_stretches``.
+
+    Columns of these four names are replaced; others of any name stay.
+    """
+    ident, mark, runs, rest = (_free(docs, n) for n in ("id", "mark", "gone", "lines"))
+    keys = dict(zip((ident, mark), _keys(docs).values()))
+    gone = later_runs(docs).groupBy(F.col("id").alias(ident), F.col("mark").alias(mark)).agg(F.collect_list(F.struct("from_line", "to_line")).alias(runs))
     joined = docs.withColumns(keys).join(gone, list(keys), "left")
     lines = F.transform(_lines(F.col("text")), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
-    kept = F.filter(lines, lambda x: (x["line"].rlike(r"[^\x20\x09-\x0D]") == F.lit(False)) | ~F.exists("__gone", lambda r: x["i"].between(r["from_line"], r["to_line"])))
+    kept = F.filter(lines, lambda x: (x["line"].rlike(r"[^\x20\x09-\x0D]") == F.lit(False)) | ~F.exists(runs, lambda r: x["i"].between(r["from_line"], r["to_line"])))
     kept = F.transform(kept, lambda x: x["line"])
-    joined = joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), kept))
+    joined = joined.withColumn(rest, F.when(F.col(runs).isNotNull(), kept))
     n_lines = F.coalesce(F.size(_lines(F.col("text"))), F.lit(0)).cast("bigint")
-    changed = F.col("__gone").isNotNull()
+    changed = F.col(runs).isNotNull()
     joined = joined.withColumns(
         {
-            "__kept": F.when(changed, F.array_join("__lines", "\n")).otherwise(F.col("text")),
+            "__kept": F.when(changed, F.array_join(rest, "\n")).otherwise(F.col("text")),
             "__n_lines": F.when(F.col("text").isNull(), 0).otherwise(n_lines),
-            "__n_removed": F.when(changed, n_lines - F.size("__lines")).otherwise(0).cast("bigint"),
-            "__n_stretches": F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint"),
+            "__n_removed": F.when(changed, n_lines - F.size(rest)).otherwise(0).cast("bigint"),
+            "__n_stretches": F.coalesce(F.size(runs), F.lit(0)).cast("bigint"),
         }
     )
-    return joined.drop("__gone", "__lines", *keys)
+    return joined.drop(runs, rest, *keys)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the input does not have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
