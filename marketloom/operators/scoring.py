@@ -130,7 +130,7 @@ def _kernel(item: str, user: str, cosine: bool, n: int, summary: bool):
                     # rounding may lift a score a little above the bound
                     rows = np.flatnonzero(bound + 10.0**-decimals * (1 + np.abs(bound)) >= self.floor)
                 self.read[rows] += 1
-                at_once = max(1, 4_000_000 // max(len(ids), len(vocabulary), 1))
+                at_once = max(1, 500_000 // max(len(ids), len(vocabulary), 1))
                 for start in range(0, len(rows), at_once):
                     part = rows[start : start + at_once]
                     scores = self.scores_of(part, data, vocabulary)
@@ -197,7 +197,7 @@ def _score(users: DataFrame, items: DataFrame, user: str, item: str, cosine: boo
     # a chunk only goes where there are users
     asked = own.select("_task").distinct().agg(F.collect_set("_task").alias("_tasks"))
     sent = chunks.withColumn("_task", F.explode(asked.scalar()))
-    both = own.unionByName(sent, allowMissingColumns=True).repartition(tasks, "_task").sortWithinPartitions("_task", "chunk")
+    both = own.unionByName(sent, allowMissingColumns=True).repartitionById(tasks, F.col("_task").cast("int")).sortWithinPartitions("_task", "chunk")
     return both.mapInPandas(_kernel(item, user, cosine, n, summary), schema)
 
 
