@@ -116,6 +116,22 @@ def test_no_quiet_end(spark, rows, monkeypatch):
         svd.fit(long_matrix(rows, np.zeros((2, 2))))
 
 
+@pytest.mark.parametrize("widths", [svd.WIDTHS_JOINED, 3])
+def test_joined_multiplies_few_times_in_a_flat_spectrum(spark, rows, monkeypatch, widths):
+    """Plain steps would take dozens; a basis that starts again in between finds the same."""
+    monkeypatch.setattr(svd, "WIDTHS_JOINED", widths)
+    calls, multiply = [], svd._multiply
+    monkeypatch.setattr(svd, "_multiply", lambda *a: calls.append(a[-1]) or multiply(*a))
+    dense = np.random.default_rng(13).random((150, 60))
+    model = svd.fit(long_matrix(rows, dense), components=2, oversample=8, method="joined")
+    left, exact, right = np.linalg.svd(dense, full_matrices=False)
+    users, u = factors(model.user_factors, "user_id")
+    items, v = factors(model.item_factors, "product_id")
+    best = (left[:, :2] * exact[:2]) @ right[:2]
+    assert np.allclose(model.singular_values, exact[:2], rtol=1e-9) and np.allclose(u @ v.T, best[np.ix_(users, items)], atol=1e-5)
+    assert len(calls) < 40 and max(calls) <= 10
+
+
 def test_svd_predict_recommend_and_errors(spark, rows):
     rng = np.random.default_rng(11)
     dense = rng.integers(0, 3, (12, 9)).astype(float)
